@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from citylake.dims import LEVEL_COLOR, STATUS_COLOR
 from citylake.functions.numeric import lookup
@@ -68,10 +67,14 @@ def speed_change(series: DataFrame) -> DataFrame:
 def top_with_ties(df: DataFrame, by: str, n: int) -> DataFrame:
     """The n largest rows and everything that ties with the last of them.
 
-    `rank() <= n` lets each task drop all but its own top rows before they meet.
+    The cut-off value is a top-n over the whole table (n rows per task at most);
+    the rows are then kept by a plain filter, so any number of ties stays spread
+    over the tasks that hold them. NULLs rank last.
     """
-    w = Window.orderBy(F.col(by).desc_nulls_last())
-    return df.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") <= n).drop("_rank")
+    nth = df.orderBy(F.col(by).desc_nulls_last()).limit(n).agg(
+        F.struct(F.min(by).alias("cut"), (F.count(F.lit(1)) > F.count(by)).alias("blanks")).alias("nth")
+    ).scalar()
+    return df.filter((F.col(by) >= nth["cut"]) | (nth["blanks"] & F.col(by).isNull()))
 
 
 def peak_hour(series: DataFrame) -> DataFrame:

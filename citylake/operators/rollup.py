@@ -95,6 +95,13 @@ def class_shares(df: DataFrame, counts: list[str]) -> DataFrame:
     return out.withColumn("pct_transporte_publico", np_round(parts[0] + parts[1], 1))
 
 
+def to_every_zone(events: DataFrame, zones: list[str] = ZONE_NAMES, everywhere: str = "todas") -> DataFrame:
+    """City-wide events once per zone; events naming one zone, known or not, stay as they are."""
+    city_wide = F.array(*[F.lit(z) for z in zones])
+    target = F.when(F.col("zona_afectada") == everywhere, city_wide).otherwise(F.array("zona_afectada"))
+    return events.withColumn("zona_afectada", F.explode(target))
+
+
 def strongest_events(events: DataFrame, zones: list[str] = ZONE_NAMES, everywhere: str = "todas") -> DataFrame:
     """The event with most impact per zone and day, as one whole row.
 
@@ -118,11 +125,7 @@ def strongest_events(events: DataFrame, zones: list[str] = ZONE_NAMES, everywher
             )
         )
 
-    target = F.when(F.col("zona_afectada") == everywhere, F.array(*[F.lit(z) for z in zones])).otherwise(
-        F.array("zona_afectada")
-    )
-    spread = winners(events).withColumn("zona_afectada", F.explode(target))
-    return winners(spread).select(
+    return winners(to_every_zone(winners(events), zones, everywhere)).select(
         F.col("zona_afectada").alias("zona"),
         "fecha",
         F.col("impacto_factor").alias("impacto_factor_evento"),
