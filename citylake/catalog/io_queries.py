@@ -71,7 +71,7 @@ def _(spark, sf):
 def _landed(spark, sf):
     path = shared_dir(spark, "landed")
     r = readings(spark, sf).select("event_id", "zona", "v", "congestion_factor", "velocidad_kmh", F.col("ts").cast("timestamp").alias("_ingest_ts"))
-    sk.append_bronze(r, "gps_rutas", path, F.col("_ingest_ts"))
+    sk.append_bronze(r, "gps_rutas", path, F.col("_ingest_ts"), by=("ingest_date",))
     return path
 
 
@@ -176,7 +176,7 @@ def _(spark, sf):
     """Several small batches; each recomputes the days it touches."""
     landed = shared_dir(spark, "bronze")
     r = readings(spark, sf).select("event_id", "zona", "_ingest_ts", "congestion_factor", "velocidad_kmh")
-    sk.append_bronze(r, "gps_rutas", landed, F.col("_ingest_ts"))
+    sk.append_bronze(r, "gps_rutas", landed, F.col("_ingest_ts"), by=("ingest_date",))
     target = shared_dir(spark, "gold")
 
     def rebuild(bronze):
@@ -188,7 +188,7 @@ def _(spark, sf):
             *[np_round(F.avg(m), 3).alias(m) for m in _METRICS]
         )
 
-    stream = st.landed_stream(spark, landed, spark.read.parquet(landed).schema, files_per_batch=300)
+    stream = st.landed_stream(spark, landed, spark.read.parquet(landed).schema, files_per_batch=12)
     st.refresh_days(stream, landed, target, st.checkpoint_path(spark, "refresh"), rebuild, once=True).awaitTermination()
     return spark.read.parquet(target)
 

@@ -25,15 +25,20 @@ def with_ingest_partitions(df: DataFrame) -> DataFrame:
     return df.withColumns({"ingest_date": F.to_date("_ingest_ts"), "ingest_hour": F.hour("_ingest_ts")})
 
 
-def append_bronze(df: DataFrame, source: str, path: str, ingest_ts: Column | None = None) -> None:
-    """Land a batch under its ingest date and hour; an empty batch adds no file."""
+def append_bronze(
+    df: DataFrame,
+    source: str,
+    path: str,
+    ingest_ts: Column | None = None,
+    by: tuple[str, ...] = ("ingest_date", "ingest_hour"),
+) -> None:
+    """Land a batch under its ingest date and hour; an empty batch adds no file.
+
+    Backfills of many days pass `by=("ingest_date",)`: one folder per day holds
+    fewer, larger files, and all scans prune on the date.
+    """
     landed = with_ingest_partitions(with_lineage(df, source, ingest_ts))
-    (
-        landed.hint("rebalance", "ingest_date", "ingest_hour")
-        .write.mode("append")
-        .partitionBy("ingest_date", "ingest_hour")
-        .parquet(path)
-    )
+    landed.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
 
 
 def overwrite_table(df: DataFrame, path: str, sort: list[str] | None = None) -> None:
