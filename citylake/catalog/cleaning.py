@@ -13,7 +13,7 @@ from citylake.catalog.views import city_events, readings, table
 from citylake.functions.numeric import lookup
 from citylake.dims import SOURCE_QUALITY
 from citylake.operators.profile import recent_or_wider
-from citylake.operators.quality import apply_ranges, first_row, union_common, with_defaults
+from citylake.operators.quality import apply_ranges, first_row, require, union_common, with_defaults
 from citylake.operators.upsert import first_wins, newest_wins
 from citylake.operators.measures import top_with_ties
 from citylake.sources.agenda import agenda, with_sentinel
@@ -25,9 +25,8 @@ AS_OF = "1998-01-01"
 
 @query("null_filter", R + "SELECT event_id, temperatura_c, congestion_factor FROM r WHERE temperatura_c IS NOT NULL AND congestion_factor IS NOT NULL")
 def _(spark, sf):
-    return readings(spark, sf).select("event_id", "temperatura_c", "congestion_factor").dropna(
-        subset=["temperatura_c", "congestion_factor"]
-    )
+    rows = readings(spark, sf).select("event_id", "temperatura_c", "congestion_factor")
+    return require(rows, ["temperatura_c", "congestion_factor"])
 
 
 @query(
@@ -71,7 +70,7 @@ def _(spark, sf):
 def _(spark, sf):
     from citylake.catalog.views import bronze_sources
 
-    cameras = bronze_sources(spark, sf)["vision_camaras"]
+    cameras = bronze_sources(spark, sf, ["vision_camaras"])["vision_camaras"]
     return cameras.select("event_id", *[c for c in cameras.columns if c.startswith("cnt_")])
 
 

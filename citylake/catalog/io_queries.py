@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from citylake.catalog import oracle as o
 from citylake.catalog.registry import query
-from citylake.catalog.views import readings, table
+from citylake.catalog.views import SOURCE_ORDER, bronze_sources, readings, table
 from citylake.functions.numeric import np_round
 from citylake.functions.timegrain import add_time_grain
 from citylake.operators.kpi import hour_kpis
-from citylake.operators.quality import first_row
+from citylake.operators.quality import first_row, require
 from citylake.operators.upsert import upsert_days
 from citylake.schemas import bronze_schema
 from citylake.session import shared_dir
@@ -180,7 +180,7 @@ def _(spark, sf):
     target = shared_dir(spark, "gold")
 
     def rebuild(bronze):
-        known = bronze.dropna(subset=_METRICS)
+        known = require(bronze, _METRICS)
         kept = first_row(known, ["zona", "_ingest_ts"], ["event_id"]).filter(
             F.col("velocidad_kmh").between(1, 130) & F.col("congestion_factor").between(1, 5)
         )
@@ -219,3 +219,76 @@ def _(spark, sf):
     if outcome["sensores_trafico"]:
         raise RuntimeError(outcome["sensores_trafico"])
     return spark.read.parquet(bronze).select("event_id", "sensor_id", "intensidad", "ingest_date", "_fuente")
+
+
+# ---- composite jobs -----------------------------------------------------------------
+
+_REFERENCE = 99.0
+
+
+def _landed_sources(spark, sf):
+    """All six sources landed as bronze, one folder per source."""
+    root = shared_dir(spark, "sources")
+    for name, df in bronze_sources(spark, sf).items():
+        sk.append_bronze(df, name, f"{root}/{name}", F.col("_ingest_ts"), by=("ingest_date",))
+    return root
+
+
+@query(
+    "incremental_gold",
+    o.ctes(o.GOLD.replace("(SELECT max(total_vehiculos_zona) FROM gold0) AS cam_max", f"{_REFERENCE}::DOUBLE AS cam_max"))
+    + """SELECT zona, fecha, hora, congestion_factor, indice_congestion, congestion_factor_lag1h, indice_congestion_lag1h, tendencia_congestion, nivel_congestion, tiene_evento
+    FROM gold WHERE fecha BETWEEN DATE '2024-01-09' AND DATE '2024-01-15'""",
+)
+def _(spark, sf):
+    """Two overlapping refresh runs give the same rows and lags as one full build.
+
+    The first run starts a day early so that its own first rows, which have no
+    stored predecessor, fall outside the compared days.
+    """
+    from citylake.plans.jobs import refresh_gold
+
+    bronze, out = _landed_sources(spark, sf), shared_dir(spark, "gold")
+    runs = [(datetime.datetime(2024, 1, 12, 23), 24 * 11), (datetime.datetime(2024, 1, 15, 23), 24 * 4)]
+    for as_of, hours in runs:
+        table_ = refresh_gold(spark, bronze, out, list(SOURCE_ORDER), as_of, _REFERENCE, hours, order=SOURCE_ORDER, storage=False)
+    return table_.filter(F.col("fecha").between(datetime.date(2024, 1, 9), datetime.date(2024, 1, 15))).select(
+        "zona", "fecha", "hora", "congestion_factor", "indice_congestion", "congestion_factor_lag1h",
+        "indice_congestion_lag1h", "tendencia_congestion", "nivel_congestion", "tiene_evento",
+    )
+
+
+@query("kpi_export", o.ctes(o.GOLD, o.LATEST, o.KPI_GLOBAL) + "SELECT * FROM kpi_global")
+def _(spark, sf):
+    """All KPI tables to CSV; the headline table is read back."""
+    from citylake.catalog.products import gold
+    from citylake.plans.jobs import export_kpis, materialise
+
+    path = shared_dir(spark, "kpis")
+    export_kpis(materialise(gold(spark, sf), "kpi-gold"), path)
+    return rd.read_csv(spark, f"{path}/kpi_resumen", "KPI string, Valor string, Unidad string")
+
+
+@query(
+    "profile_job",
+    o.ctes(
+        o.GOLD,
+        "m AS (SELECT max(fecha) AS f FROM gold)",
+        "p AS (SELECT * FROM gold WHERE fecha >= (SELECT f FROM m) - 7)",
+        f"a AS (SELECT {o.exact('congestion_ratio', 4)} AS a FROM p)",
+        f"d AS (SELECT dia_semana, {o.exact('congestion_ratio', 4)} AS f FROM p GROUP BY dia_semana)",
+        "w AS (SELECT CAST(unnest(range(7)) AS INTEGER) AS dia_semana)",
+    )
+    + "SELECT w.dia_semana, coalesce(f / nullif((SELECT a FROM a), 0), 1.0::DOUBLE) AS factor FROM w LEFT JOIN d USING (dia_semana)",
+)
+def _(spark, sf):
+    """All learned tables written; the weekday factors are read back."""
+    from citylake.catalog.products import cleaned, gold
+    from citylake.plans.jobs import learn_profiles, materialise, write_profiles
+
+    rows = materialise(gold(spark, sf), "profile-gold")
+    parts = cleaned(spark, sf, "eventos", "redes_noticias")
+    learned = learn_profiles(rows, parts["eventos"], parts["redes_noticias"], rows.agg(F.max("fecha")).scalar(), 6)
+    path = shared_dir(spark, "profiles")
+    write_profiles(learned, path)
+    return spark.read.parquet(f"{path}/factor_dia")

@@ -162,12 +162,11 @@ def _(spark, sf):
     f"SELECT doc_id, {o.hits('text', TRAFFIC_WORDS)} AS aciertos, {o.relevance_sql('text')} AS relevance_score, {o.relevance_sql('text')} > 0 AS es_trafico FROM documents",
 )
 def _(spark, sf):
-    text = F.col("text")
     return table(spark, sf, "documents").select(
         "doc_id",
-        word_hits(text, TRAFFIC_WORDS).alias("aciertos"),
-        relevance(text).alias("relevance_score"),
-        (relevance(text) > 0).alias("es_trafico"),
+        word_hits("text", TRAFFIC_WORDS).alias("aciertos"),
+        relevance("text").alias("relevance_score"),
+        (relevance("text") > 0).alias("es_trafico"),
     )
 
 
@@ -176,13 +175,12 @@ def _(spark, sf):
     f"SELECT conv_id, turn, {o.hits('text', NEGATIVE_WORDS)} AS negativos, {o.hits('text', POSITIVE_WORDS)} AS positivos, {o.sentiment_sql('text')} AS sentiment FROM conversations",
 )
 def _(spark, sf):
-    text = F.col("text")
     return table(spark, sf, "conversations").select(
         "conv_id",
         "turn",
-        word_hits(text, NEGATIVE_WORDS).alias("negativos"),
-        word_hits(text, POSITIVE_WORDS).alias("positivos"),
-        sentiment(text).alias("sentiment"),
+        word_hits("text", NEGATIVE_WORDS).alias("negativos"),
+        word_hits("text", POSITIVE_WORDS).alias("positivos"),
+        sentiment("text").alias("sentiment"),
     )
 
 

@@ -15,8 +15,9 @@ from citylake.plans.gold import SCHEMA_GROUPS, congestion_by_zone
 from citylake.plans.silver import silver, silver_report
 
 
-def cleaned(spark, sf):
-    return silver(bronze_sources(spark, sf), SOURCE_ORDER)
+def cleaned(spark, sf, *names):
+    """Silver tables of the named sources, all six by default."""
+    return silver(bronze_sources(spark, sf, list(names)), SOURCE_ORDER)
 
 
 def gold(spark, sf):
@@ -49,7 +50,7 @@ def _silver_query(name: str, columns: dict[str, str], source: str):
 
     @query(f"silver_{name}", sql)
     def _(spark, sf):
-        return cleaned(spark, sf)[name].selectExpr(*columns)
+        return cleaned(spark, sf, name)[name].selectExpr(*columns)
 
 
 _TS = {"date_format(_ingest_ts, 'yyyy-MM-dd HH:mm') AS lote": "strftime(ingest_ts, '%Y-%m-%d %H:%M') AS lote"}
@@ -111,7 +112,7 @@ def _(spark, sf):
 
 @query("strongest_event", o.ctes(o.SILVER, o.EVENTS_DAILY) + "SELECT * FROM g_ev")
 def _(spark, sf):
-    return strongest_events(cleaned(spark, sf)["eventos"].withColumn("impacto_factor", F.col("impacto_factor").cast("double")))
+    return strongest_events(cleaned(spark, sf, "eventos")["eventos"].withColumn("impacto_factor", F.col("impacto_factor").cast("double")))
 
 
 @query("kpi_global", o.ctes(o.GOLD, o.LATEST, o.KPI_GLOBAL) + "SELECT * FROM kpi_global")

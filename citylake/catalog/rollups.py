@@ -25,22 +25,22 @@ CAMS = o.ctes(o.READINGS, o.CAMERAS_RAW, o.SILVER_CAMERAS, o.CAMERAS_HOURLY, o.F
 
 @query("hourly_mean_mode", o.ctes(o.SILVER, o.HOURLY) + "SELECT * FROM g_sen LEFT JOIN m_niv USING (zona, fecha, hora)")
 def _(spark, sf):
-    return ru.sensors_hourly(add_time_grain(cleaned(spark, sf)["sensores_trafico"]))
+    return ru.sensors_hourly(add_time_grain(cleaned(spark, sf, "sensores_trafico")["sensores_trafico"]))
 
 
 @query("hourly_weather", o.ctes(o.SILVER, o.HOURLY) + "SELECT * FROM g_cli LEFT JOIN m_cod USING (zona, fecha, hora)")
 def _(spark, sf):
-    out = ru.weather_hourly(add_time_grain(cleaned(spark, sf)["clima"]))
+    out = ru.weather_hourly(add_time_grain(cleaned(spark, sf, "clima")["clima"]))
     return out.withColumn("codigo_clima", F.col("codigo_clima").cast("int"))
 
 
 @query("hourly_mean", o.ctes(o.SILVER, o.HOURLY) + "SELECT * FROM g_gps")
 def _(spark, sf):
-    return ru.gps_hourly(add_time_grain(cleaned(spark, sf)["gps_rutas"]))
+    return ru.gps_hourly(add_time_grain(cleaned(spark, sf, "gps_rutas")["gps_rutas"]))
 
 
 def _cameras(spark, sf):
-    return ru.cameras_hourly(add_time_grain(cleaned(spark, sf)["vision_camaras"]))
+    return ru.cameras_hourly(add_time_grain(cleaned(spark, sf, "vision_camaras")["vision_camaras"]))
 
 
 @query("two_level_sum_mean", CAMS + "SELECT zona, fecha, hora, total_vehiculos_zona FROM g_cam")
@@ -60,7 +60,7 @@ def _(spark, sf):
 
 @query("conditional_counts", o.ctes(o.SILVER, o.NEWS_HOURLY) + "SELECT * FROM g_nw")
 def _(spark, sf):
-    return ru.news_hourly(add_time_grain(cleaned(spark, sf)["redes_noticias"]))
+    return ru.news_hourly(add_time_grain(cleaned(spark, sf, "redes_noticias")["redes_noticias"]))
 
 
 _IDS = [s for sensors in DETECTORS.values() for s in sensors] + ["0001", "0002"]
@@ -169,8 +169,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Only weather is mandatory; absent sources leave NULLs and defaults."""
-    some = {k: v for k, v in cleaned(spark, sf).items() if k in ("clima", "gps_rutas")}
-    return join_sources(some).select(
+    return join_sources(cleaned(spark, sf, "clima", "gps_rutas")).select(
         "zona", "fecha", "hora", "dia_semana", "temperatura_c", "humedad_pct", "precipitacion_mm", "viento_kmh", F.col("codigo_clima").cast("int").alias("codigo_clima"),
         "congestion_factor", "velocidad_kmh", "duracion_trafico_s", "congestion_ratio", "tiene_evento", "tipo_evento",
         "impacto_factor_evento", "noticias_trafico_cnt", "vehiculos_entrada",
@@ -243,10 +242,10 @@ def _(spark, sf):
     + "SELECT z.zona, d.fecha, h.hora, velocidad_kmh, velocidad_kmh IS NULL AS vacio FROM z, d, h LEFT JOIN g_gps g ON g.zona = z.zona AND g.fecha = d.fecha AND g.hora = h.hora",
 )
 def _(spark, sf):
-    gps = add_time_grain(bronze_sources(spark, sf)["gps_rutas"])
+    gps = add_time_grain(bronze_sources(spark, sf, ["gps_rutas"])["gps_rutas"])
     span = gps.agg(F.struct(F.min("fecha").alias("a"), F.max("fecha").alias("b"))).scalar()
     grid = se.hour_grid(zone_frame(spark).select("zona"), span["a"], span["b"])
-    facts = ru.gps_hourly(add_time_grain(cleaned(spark, sf)["gps_rutas"]))
+    facts = ru.gps_hourly(add_time_grain(cleaned(spark, sf, "gps_rutas")["gps_rutas"]))
     return se.fill_gaps(facts, grid).select(
         "zona", "fecha", "hora", "velocidad_kmh", F.col("velocidad_kmh").isNull().alias("vacio")
     )
@@ -341,7 +340,7 @@ _FLOORS = {"congestion_ratio": 0.01, "intensidad_veh_hora": 1.0}
 )
 def _(spark, sf):
     """Per-source profile with a floor of its own for each metric's deviation."""
-    sensors = add_time_grain(cleaned(spark, sf)["sensores_trafico"]).withColumn(
+    sensors = add_time_grain(cleaned(spark, sf, "sensores_trafico")["sensores_trafico"]).withColumn(
         "intensidad_veh_hora", F.col("intensidad_veh_hora").cast("double")
     )
     table_ = pf.zone_hour_profile(sensors, list(_FLOORS), _FLOORS, digits=6, at_least=1)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from citylake.dims import VEHICLE_SHARES, ZONE_NAMES
 from citylake.functions.numeric import proportional_counts
-from citylake.functions.text import relevance, sentiment
+from citylake.functions.text import add_scores
 from citylake.functions.timegrain import add_time_grain, batch_start
 from citylake.functions.traffic import camera_id, service_level
 
@@ -63,22 +63,38 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_time_grain(measured, "ts")
 
 
-def bronze_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    r = readings(spark, sf_dir)
-    side = F.when(F.col("posicion") == "entrada", 1).otherwise(2)
-    key = ["event_id", "zona", "_ingest_ts"]
-    return {
-        "clima": r.select(*key, "temperatura_c", "humedad_pct", "precipitacion_mm", "viento_kmh", "codigo_clima", F.lit("real").alias("_calidad_fuente")),
-        "sensores_trafico": r.select(*key, "congestion_ratio", "intensidad_veh_hora", service_level(F.col("congestion_ratio")).alias("nivel_servicio"), F.lit("proxy").alias("_calidad_fuente")),
-        "gps_rutas": r.select(*key, "congestion_factor", "velocidad_kmh", "duracion_trafico_s", F.lit("real").alias("_calidad_fuente")),
-        "vision_camaras": r.select(*key, camera_id(F.col("zona"), side).alias("camara_id"), "posicion", "total_detectado", *proportional_counts("total_detectado", VEHICLE_SHARES), F.lit("calibrado").alias("_calidad_fuente")),
-        "eventos": city_events(spark, sf_dir),
-        "redes_noticias": news(spark, sf_dir),
-    }
+_KEY = ["event_id", "zona", "_ingest_ts"]
+
+
+def _quality(label: str):
+    return F.lit(label).alias("_calidad_fuente")
+
+
+def _clima(spark, sf_dir):
+    metrics = ["temperatura_c", "humedad_pct", "precipitacion_mm", "viento_kmh", "codigo_clima"]
+    return readings(spark, sf_dir).select(*_KEY, *metrics, _quality("real"))
+
+
+def _sensores(spark, sf_dir):
+    level = service_level(F.col("congestion_ratio")).alias("nivel_servicio")
+    return readings(spark, sf_dir).select(*_KEY, "congestion_ratio", "intensidad_veh_hora", level, _quality("proxy"))
+
 
+def _gps(spark, sf_dir):
+    metrics = ["congestion_factor", "velocidad_kmh", "duracion_trafico_s"]
+    return readings(spark, sf_dir).select(*_KEY, *metrics, _quality("real"))
 
-def bronze_readings_only(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {n: d for n, d in bronze_sources(spark, sf_dir).items() if n not in ("eventos", "redes_noticias")}
+
+def _camaras(spark, sf_dir):
+    side = F.when(F.col("posicion") == "entrada", 1).otherwise(2)
+    return readings(spark, sf_dir).select(
+        *_KEY,
+        camera_id(F.col("zona"), side).alias("camara_id"),
+        "posicion",
+        "total_detectado",
+        *proportional_counts("total_detectado", VEHICLE_SHARES),
+        _quality("calibrado"),
+    )
 
 
 def city_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,18 +121,33 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = F.timestamp_seconds(
         F.unix_seconds(F.to_timestamp(F.lit(FIRST_DAY))) + (doc % 30) * 86400 + (doc % 24) * 3600
     )
-    return d.select(
+    scored = add_scores(d, "text")
+    return scored.select(
         F.substring(F.md5(F.concat(F.col("source"), F.lit("/"), (doc - doc % 2).cast("string")).cast("binary")), 1, 12).alias("item_id"),
         "doc_id",
         F.substring("text", 1, 200).alias("titulo"),
-        relevance(F.col("text")).alias("relevance_score"),
-        sentiment(F.col("text")).alias("sentiment"),
-        F.when(doc % 9 != 0, relevance(F.col("text")) > 0).alias("es_trafico"),
+        "relevance_score",
+        "sentiment",
+        F.when(doc % 9 != 0, F.col("es_trafico")).alias("es_trafico"),
         stamp.alias("_ingest_ts"),
         F.lit("real").alias("_calidad_fuente"),
     )
 
 
+SOURCES = {
+    "clima": _clima,
+    "sensores_trafico": _sensores,
+    "gps_rutas": _gps,
+    "vision_camaras": _camaras,
+    "eventos": city_events,
+    "redes_noticias": news,
+}
+
+
+def bronze_sources(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    return {n: SOURCES[n](spark, sf_dir) for n in names or SOURCES}
+
+
 SOURCE_ORDER = {
     "clima": ["event_id"],
     "sensores_trafico": ["event_id"],

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citylake.dims import NEGATIVE_WORDS, POSITIVE_WORDS, TRAFFIC_WORDS
+from citylake.dims import NEGATIVE_WORDS, POSITIVE_WORDS, TRAFFIC_WORDS, sql_literal
 from citylake.functions.numeric import np_round
 
 
@@ -16,13 +14,13 @@ def strip_tags(text: Column) -> Column:
     return F.regexp_replace(bare, r"^\s+|\s+$", "")
 
 
-def word_hits(text: Column, words: list[str]) -> Column:
-    """How many of the listed words occur anywhere in the text, inside words too."""
-    lowered = F.lower(text)
-    return reduce(lambda a, b: a + b, [F.contains(lowered, F.lit(w)).cast("int") for w in words])
+def word_hits(text: str, words: list[str]) -> Column:
+    """How many of the listed words occur anywhere in a text column, inside words too."""
+    found = [f"CAST(contains(lower(`{text}`), {sql_literal(w)}) AS INT)" for w in words]
+    return F.expr(" + ".join(found))
 
 
-def relevance(text: Column) -> Column:
+def relevance(text: str) -> Column:
     """Three different traffic words make a fully relevant text.
 
     The coalesce declares the score non-null: a later `score IS NOT NULL` filter
@@ -32,11 +30,17 @@ def relevance(text: Column) -> Column:
     return F.coalesce(score, F.lit(0.0))
 
 
-def sentiment(text: Column) -> Column:
+def sentiment(text: str) -> Column:
     negative, positive = word_hits(text, NEGATIVE_WORDS), word_hits(text, POSITIVE_WORDS)
     return F.when(negative > positive, "negativo").when(positive > negative, "positivo").otherwise("neutro")
 
 
+def add_scores(df: DataFrame, text: str) -> DataFrame:
+    """Relevance, sentiment and the traffic flag; the texts are scored once."""
+    scored = df.withColumns({"relevance_score": relevance(text), "sentiment": sentiment(text)})
+    return scored.withColumn("es_trafico", F.col("relevance_score") > 0)
+
+
 def item_id(link: Column, title: Column) -> Column:
     known = F.coalesce(link, F.lit("")) != ""
     return F.substring(F.md5(F.when(known, link).otherwise(title).cast("binary")), 1, 12)

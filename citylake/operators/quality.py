@@ -37,6 +37,14 @@ def first_row(df: DataFrame, key: list[str], order: list[Column | str]) -> DataF
     return df.withColumn("_rn", rank).filter("_rn = 1").drop("_rn")
 
 
+def require(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with all listed fields present (readers have turned NaN into NULL).
+
+    Plain IS NOT NULL predicates reach the Parquet scan, which `dropna` does not.
+    """
+    return reduce(lambda d, c: d.filter(F.col(c).isNotNull()), columns, df)
+
+
 def in_range(column: str, low: float | None, high: float | None) -> Column:
     c = F.col(column)
     if low is not None and high is not None:
@@ -59,7 +67,7 @@ def clean(df: DataFrame, rule: CleanRule, order: list[str] | None = None, storag
     """
     have = set(df.columns)
     tie = order or ["_ingest_ts", *[c for c in df.columns if c not in rule.key]]
-    kept = first_row(df.dropna(subset=list(rule.required)), list(rule.key), [c for c in tie if c in have])
+    kept = first_row(require(df, list(rule.required)), list(rule.key), [c for c in tie if c in have])
     typed = {c: lenient_int(c, t) for c, t in rule.integers.items() if c in have}
     for c, t in rule.casts.items():
         if c in have:

@@ -20,21 +20,25 @@ from citylake.operators.profile import (
 )
 from citylake.operators.series import circular_fill, lag_features_incremental
 from citylake.operators.upsert import upsert_days
-from citylake.plans.gold import add_features, add_label, join_sources
+from citylake.plans.gold import add_features, add_label, flags_as_int, join_sources
 from citylake.plans.silver import silver
+from citylake.functions.numeric import nan_to_null
 from citylake.schemas import bronze_schema, conform, to_storage_types
 from citylake.session import shared_dir
-from citylake.sources.readers import read_landed, read_or_empty, recent_hours
+from citylake.sources.readers import normalise_ingest_ts, read_landed, read_or_empty, recent_hours
 from citylake.sources.sinks import overwrite_days, overwrite_table, write_csv
 
 
 def read_sources(spark: SparkSession, bronze_root: str, names: list[str], as_of: datetime, hours: int = 24) -> dict[str, DataFrame]:
-    """Recent rows of each landed source, pruned to the days that matter."""
+    """Recent rows of each landed source, pruned to the days that matter.
+
+    City events are few and dated ahead of their ingest day, so they are read whole.
+    """
     out = {}
     for name in names:
-        schema = bronze_schema(name)
-        recent = recent_hours(read_landed(spark, f"{bronze_root}/{name}", schema), as_of, hours)
-        out[name] = conform(recent, schema).withColumn("_ingest_ts", F.col("_ingest_ts").cast("timestamp"))
+        landed = read_landed(spark, f"{bronze_root}/{name}", bronze_schema(name))
+        recent = landed if name == "eventos" else recent_hours(landed, as_of, hours)
+        out[name] = normalise_ingest_ts(nan_to_null(recent))
     return out
 
 
@@ -66,15 +70,18 @@ def refresh_gold(
     hours: int = 24,
     relabel: Callable[[DataFrame], DataFrame] | None = None,
     dry_run: bool = False,
+    order: dict[str, list[str]] | None = None,
+    storage: bool = True,
 ) -> DataFrame:
     """Recompute the days touched by the last hours and merge them into gold.
 
     `busiest` is the fixed camera reference, so that a refresh and a full rebuild
     give the same index. `relabel` may replace the rule label by a model's.
-    A dry run returns the fresh rows and writes nothing.
+    A dry run returns the fresh rows and writes nothing. `storage` narrows floats
+    to 32 bits on writing.
     """
-    cleaned = silver(read_sources(spark, bronze_root, sources, as_of, hours))
-    featured = add_features(join_sources(cleaned), busiest)
+    cleaned = silver(read_sources(spark, bronze_root, sources, as_of, hours), order)
+    featured = flags_as_int(add_features(join_sources(cleaned), busiest))
     target = f"{gold_root}/congestion_por_zona"
     first = F.to_date(F.lit(as_of) - F.expr(f"INTERVAL {hours} HOURS"))
     stored = conform(read_or_empty(spark, target, featured.schema), featured.schema)
@@ -83,7 +90,7 @@ def refresh_gold(
         fresh = relabel(fresh)
     if dry_run:
         return fresh
-    upsert_days(to_storage_types(fresh), target)
+    upsert_days(to_storage_types(fresh) if storage else fresh, target)
     gold = spark.read.parquet(target).filter(F.col("fecha") >= first)
     overwrite_days(route_advice(gold), f"{gold_root}/recomendaciones_ruta", "fecha", ["zona", "hora"])
     overwrite_days(signal_timing(gold), f"{gold_root}/semaforos_simulados", "fecha", ["zona", "hora"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citylake.functions.numeric import lenient_int
-from citylake.functions.text import item_id, relevance, sentiment, strip_tags
+from citylake.functions.text import add_scores, item_id, strip_tags
 from citylake.functions.traffic import trip_factor, trip_speed
 
 # ---- fixed values: payload fields and feed patterns ---------------------------
@@ -114,8 +114,8 @@ def feed_items(df: DataFrame, text: str, source: str, *keep: str) -> DataFrame:
         F.coalesce(F.col("x.l"), F.lit("")).alias("url"),
         F.substring(F.coalesce(F.col("x.f"), F.lit("")), 1, 50).alias("fecha_publicacion"),
     ).filter(F.col("_title") != "")
-    whole = F.concat_ws(" ", "_title", "descripcion")
-    return items.select(
+    scored = add_scores(items.withColumn("_text", F.concat_ws(" ", "_title", "descripcion")), "_text")
+    return scored.select(
         *keep,
         "fuente",
         "pos",
@@ -124,7 +124,7 @@ def feed_items(df: DataFrame, text: str, source: str, *keep: str) -> DataFrame:
         "descripcion",
         "url",
         "fecha_publicacion",
-        relevance(whole).alias("relevance_score"),
-        sentiment(whole).alias("sentiment"),
-        (relevance(whole) > 0).alias("es_trafico"),
+        "relevance_score",
+        "sentiment",
+        "es_trafico",
     )

@@ -51,7 +51,7 @@ def normalise_ingest_ts(df: DataFrame, column: str = "_ingest_ts") -> DataFrame:
 def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The layout this library writes, partitioned by `ingest_date` and `ingest_hour`."""
     return read_or_empty(
-        spark, path, T.StructType([*schema.fields]).add("ingest_date", "date").add("ingest_hour", "int")
+        spark, path, T.StructType([*schema.fields]).add("ingest_date", T.DateType()).add("ingest_hour", T.IntegerType())
     )
 
 
