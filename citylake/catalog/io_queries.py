@@ -258,6 +258,15 @@ def _(spark, sf):
     )
 
 
+@query("gold_job", o.ctes(o.GOLD) + "SELECT * FROM gold")
+def _(spark, sf):
+    """The full rebuild with its written base, read back from the table."""
+    from citylake.catalog.products import cleaned
+    from citylake.plans.jobs import build_gold
+
+    return build_gold(cleaned(spark, sf), shared_dir(spark, "gold"), storage=False)
+
+
 @query("kpi_export", o.ctes(o.GOLD, o.LATEST, o.KPI_GLOBAL) + "SELECT * FROM kpi_global")
 def _(spark, sf):
     """All KPI tables to CSV; the headline table is read back."""

@@ -7,6 +7,7 @@ import json
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Model
 from pyspark.ml.classification import MultilayerPerceptronClassificationModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.util import MLWritable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,19 +59,22 @@ def usable(columns: list[str]) -> Column:
 
 
 def predict(gold: DataFrame, path: str, loader: type[Model] = MultilayerPerceptronClassificationModel) -> DataFrame:
-    """Relabel gold rows with a stored model.
+    """Relabel gold rows with a stored model, in one pass and without row ids.
 
-    Rows the model cannot score, because an input is NULL, keep the rule label.
-    They are split off by a filter and united again; no row id, no join, and no
-    pass through the driver.
+    The assembler keeps rows with missing inputs; their meaningless score is then
+    ignored and the rule label stands.
     """
-    spark = gold.sparkSession
-    about = describe(spark, path)
+    about = describe(gold.sparkSession, path)
     prep, model = PipelineModel.load(f"{path}/prep"), loader.load(f"{path}/model")
-    complete = usable(about["numericas"])
-    columns = [c for c in gold.columns if c != about["target"]]
-    scored = model.transform(prep.transform(gold.filter(complete).drop(about["target"])))
-    by_model = scored.select(*columns, label_of(F.col("prediction"), about["labels"]).alias(about["target"]), F.lit("modelo").alias("origen_nivel"))
+    for stage in prep.stages:
+        if isinstance(stage, VectorAssembler):
+            stage.setHandleInvalid("keep")
+    target, complete = about["target"], usable(about["numericas"])
+    scored = model.transform(prep.transform(gold.drop(target)))
     rule = congestion_level(F.col("congestion_factor"), F.col("indice_congestion"))
-    by_rule = gold.filter(~complete).select(*columns, rule.alias(about["target"]), F.lit("regla").alias("origen_nivel"))
-    return by_model.unionByName(by_rule)
+    columns = [c for c in gold.columns if c != target]
+    return scored.select(
+        *columns,
+        F.when(complete, label_of(F.col("prediction"), about["labels"])).otherwise(rule).alias(target),
+        F.when(complete, "modelo").otherwise("regla").alias("origen_nivel"),
+    )

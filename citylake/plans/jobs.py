@@ -18,7 +18,7 @@ from citylake.operators.profile import (
     weekday_factors,
     zone_hour_profile,
 )
-from citylake.operators.series import circular_fill, lag_features_incremental
+from citylake.operators.series import circular_fill, lag_features, lag_features_incremental
 from citylake.operators.upsert import upsert_days
 from citylake.plans.gold import add_features, add_label, flags_as_int, join_sources
 from citylake.plans.silver import silver
@@ -60,6 +60,22 @@ def export_kpis(gold: DataFrame, path: str, model_results: DataFrame | None = No
         write_csv(table, f"{path}/{name}")
 
 
+def build_gold(sources: dict[str, DataFrame], gold_root: str, busiest: float | None = None, storage: bool = True) -> DataFrame:
+    """Full rebuild of the three gold tables from cleaned sources.
+
+    The joined base is written once. The camera maximum, the features and both
+    advice tables then start from it, so no source is scanned twice.
+    """
+    base = materialise(join_sources(sources), "gold-base")
+    labelled = flags_as_int(add_label(lag_features(add_features(base, busiest))))
+    target = f"{gold_root}/congestion_por_zona"
+    overwrite_days(to_storage_types(labelled) if storage else labelled, target, "fecha", ["zona", "hora"])
+    gold = base.sparkSession.read.parquet(target)
+    overwrite_days(route_advice(gold), f"{gold_root}/recomendaciones_ruta", "fecha", ["zona", "hora"])
+    overwrite_days(signal_timing(gold), f"{gold_root}/semaforos_simulados", "fecha", ["zona", "hora"])
+    return gold
+
+
 def refresh_gold(
     spark: SparkSession,
     bronze_root: str,

@@ -44,9 +44,3 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = os.path.join(tempfile.gettempdir(), "citylake")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point `DataFrame.checkpoint()` at the shared folder, once per session."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoint"))
