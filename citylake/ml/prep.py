@@ -6,7 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from citylake.ml.select import LEAKAGE, drop_collinear, index_label, select_univariate, split_columns
@@ -61,6 +63,12 @@ def feature_pipeline(numeric: list[str], text: list[str], invalid: str = "skip")
     return Pipeline(stages=stages)
 
 
+def non_negative(df: DataFrame, column: str = "features_nb") -> DataFrame:
+    """Rows outside the training range fall below the fitted minimum; bring them back to 0."""
+    bounded = F.transform(vector_to_array(F.col(column)), lambda x: F.greatest(x, F.lit(0.0)))
+    return df.withColumn(column, array_to_vector(bounded))
+
+
 @dataclass
 class Prepared:
     train: DataFrame
@@ -91,7 +99,7 @@ def prepare(df: DataFrame, label: str, exclude: list[str] = LEAKAGE, share: floa
     model = feature_pipeline(selection.numeric, selection.text).fit(train)
     keep = [label, f"{label}_cat", "features_scaled", "features_nb"]
     ready = model.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    holdout = model.transform(test).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    holdout = non_negative(model.transform(test)).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
     ready.count()
     train.unpersist()
     return Prepared(ready, holdout, model, selection)

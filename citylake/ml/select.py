@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import StringIndexer, UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.stat import ChiSquareTest, Correlation
 from pyspark.sql import DataFrame
@@ -33,14 +35,17 @@ def as_vector(df: DataFrame, columns: list[str], out: str = "vec", invalid: str
 
 
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson r for every ordered pair of columns, long form.
+    """Pearson r for every ordered pair of columns, long form; NULL where a column is constant.
 
     The matrix has one cell per pair of columns; its size does not depend on rows.
     """
     matrix = Correlation.corr(as_vector(df.select(*columns), columns), "vec", "pearson").head()[0].toArray()
-    rows = [
-        (a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j
-    ]
+
+    def cell(i: int, j: int) -> float | None:
+        # A NaN left in would pass `> limit`: Spark orders NaN above every number.
+        return None if math.isnan(matrix[i, j]) else float(matrix[i, j])
+
+    rows = [(a, b, cell(i, j)) for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j]
     return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
