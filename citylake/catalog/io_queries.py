@@ -212,7 +212,7 @@ def _(spark, sf):
     outcome = st.run_all(
         {
             "sensores_trafico": lambda: st.ingest(
-                parsed, "sensores_trafico", bronze, st.checkpoint_path(spark, "ingest"), F.col("_ingest_ts"), once=True
+                parsed, "sensores_trafico", bronze, st.checkpoint_path(spark, "ingest"), F.col("_ingest_ts"), True, ("ingest_date",)
             )
         }
     )

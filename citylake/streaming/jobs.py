@@ -40,7 +40,13 @@ def with_event_time(stream: DataFrame, column: str = "_ingest_ts", lateness: str
 
 
 def ingest(
-    stream: DataFrame, source: str, path: str, checkpoint: str, ingest_ts: Column | None = None, once: bool = False
+    stream: DataFrame,
+    source: str,
+    path: str,
+    checkpoint: str,
+    ingest_ts: Column | None = None,
+    once: bool = False,
+    by: tuple[str, ...] = ("ingest_date", "ingest_hour"),
 ) -> StreamingQuery:
     """Parsed payload rows to bronze, appended under ingest date and hour."""
     landed = with_ingest_partitions(with_lineage(stream, source, ingest_ts))
@@ -48,7 +54,7 @@ def ingest(
         landed.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("ingest_date", "ingest_hour")
+        .partitionBy(*by)
         .queryName(f"ingest_{source}")
     )
     return triggered(writer, once, INGEST_EVERY).start()

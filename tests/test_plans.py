@@ -1,37 +1,19 @@
-"""What the optimizer makes of the operators."""
+"""What the optimizer makes of the operators (test_oracle checks every query's plan too)."""
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
-from citylake.catalog.all import QUERIES
-from citylake.catalog.products import gold
+from citylake.catalog.products import cleaned, gold
 from citylake.catalog.views import readings, table
 from citylake.operators.measures import top_with_ties
 from citylake.operators.quality import first_row, require
 from citylake.plans.gold import join_sources
-from citylake.catalog.products import cleaned
-
-EAGER = {
-    "model_comparison", "batch_inference", "embedding_classes", "m_best_model", "anova_select", "chi2_select",
-    "incremental_gold", "gold_job", "kpi_export", "profile_job", "stream_hourly", "stream_dedup", "stream_upsert",
-    "stream_ingest", "parquet_roundtrip", "bronze_layouts", "lookback_hours", "lookback_days", "csv_roundtrip",
-    "idempotent_days", "upsert_days", "chi2_scores", "pearson_filter",
-}
-
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
-def test_no_python_and_no_pairwise_products(spark, sf_dir, name):
-    text = plan(QUERIES[name](spark, sf_dir))
-    for bad in ("PythonUDF", "EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "collect_list", "collect_set"):
-        assert bad not in text
-
-
 def test_dedup_limits_rows_before_the_shuffle(spark, sf_dir):
     text = plan(first_row(readings(spark, sf_dir), ["zona", "_ingest_ts"], ["event_id"]))
     exchange = text.index("Exchange hashpartitioning")
