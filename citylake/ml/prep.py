@@ -64,8 +64,9 @@ def feature_pipeline(numeric: list[str], text: list[str], invalid: str = "skip")
 
 
 def non_negative(df: DataFrame, column: str = "features_nb") -> DataFrame:
-    """Rows outside the training range fall below the fitted minimum; bring them back to 0."""
-    bounded = F.transform(vector_to_array(F.col(column)), lambda x: F.greatest(x, F.lit(0.0)))
+    """Rows outside the training range fall below the fitted minimum; bring them back
+    to 0. So are missing inputs, whose score is not used."""
+    bounded = F.transform(vector_to_array(F.col(column)), lambda x: F.greatest(F.nanvl(x, F.lit(0.0)), F.lit(0.0)))
     return df.withColumn(column, array_to_vector(bounded))
 
 

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import PipelineModel, classification
 from pyspark.ml.base import Model
-from pyspark.ml.classification import MultilayerPerceptronClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.util import MLWritable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.functions.traffic import congestion_level
-from citylake.ml.prep import Prepared
+from citylake.ml.prep import Prepared, non_negative
 from citylake.ml.select import LEAKAGE
 
 
@@ -29,6 +28,7 @@ def save(ready: Prepared, model: Model, name: str, path: str) -> None:
     model.write().overwrite().save(f"{path}/model")
     described = {
         "modelo": name,
+        "clase": type(model).__name__,
         "labels": ready.selection.labels,
         "numericas": ready.selection.numeric,
         "categoricas": ready.selection.text,
@@ -39,6 +39,14 @@ def save(ready: Prepared, model: Model, name: str, path: str) -> None:
     spark.createDataFrame([(json.dumps(described),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
 
+def save_best(ready: Prepared, results: DataFrame, fitted: dict[str, Model], path: str) -> str:
+    """Save the model with the best F1 among those with a single stored form; returns its name."""
+    ranked = [r.Modelo for r in results.orderBy(F.desc("F1_score"), "Modelo").collect()]
+    name = next(n for n in ranked if isinstance(fitted[n], MLWritable))
+    save(ready, fitted[name], name, path)
+    return name
+
+
 def describe(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(f"{path}/metadata").head().value)
 
@@ -58,19 +66,20 @@ def usable(columns: list[str]) -> Column:
     return ok
 
 
-def predict(gold: DataFrame, path: str, loader: type[Model] = MultilayerPerceptronClassificationModel) -> DataFrame:
+def predict(gold: DataFrame, path: str) -> DataFrame:
     """Relabel gold rows with a stored model, in one pass and without row ids.
 
     The assembler keeps rows with missing inputs; their meaningless score is then
     ignored and the rule label stands.
     """
     about = describe(gold.sparkSession, path)
-    prep, model = PipelineModel.load(f"{path}/prep"), loader.load(f"{path}/model")
+    prep = PipelineModel.load(f"{path}/prep")
+    model = getattr(classification, about["clase"]).load(f"{path}/model")
     for stage in prep.stages:
         if isinstance(stage, VectorAssembler):
             stage.setHandleInvalid("keep")
     target, complete = about["target"], usable(about["numericas"])
-    scored = model.transform(prep.transform(gold.drop(target)))
+    scored = model.transform(non_negative(prep.transform(gold.drop(target))))
     rule = congestion_level(F.col("congestion_factor"), F.col("indice_congestion"))
     columns = [c for c in gold.columns if c != target]
     return scored.select(

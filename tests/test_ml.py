@@ -145,3 +145,14 @@ def test_saved_model_predicts_the_same_and_rules_fill_gaps(spark, rows, ready):
     assert joined.filter(F.col(TARGET) != F.col("want")).count() == 0
     by_rule = out.filter("origen_nivel = 'regla'").join(rows.select(*key, F.col(TARGET).alias("regla")), key)
     assert by_rule.count() > 0 and by_rule.filter(F.col(TARGET) != F.col("regla")).count() == 0
+
+
+def test_best_storable_model_is_saved_and_loaded(spark, rows, ready):
+    pool = md.candidates(TARGET, ready.size, len(ready.selection.labels))
+    nb = next(c for c in pool if c.name == "NaiveBayes")
+    results, fitted = ev.train_and_compare(ready, [nb])
+    fitted["OvR"] = md.OneVsRestModel([])
+    ranked = results.select("Modelo", "F1_score").unionByName(spark.createDataFrame([("OvR", 1.0)], "Modelo string, F1_score double"))
+    path = shared_dir(spark, "t-best")
+    assert store.save_best(ready, ranked, fitted, path) == "NaiveBayes"
+    assert store.predict(rows, path).filter(F.col(TARGET).isNull()).count() == 0
