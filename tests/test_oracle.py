@@ -10,8 +10,8 @@ def test_registry_is_consistent():
     import __spark_entry__ as entry
 
     assert set(ORACLES) <= set(QUERIES)
-    assert entry.queries().keys() == QUERIES.keys()
-    assert entry.oracle_sql().keys() == ORACLES.keys()
+    assert entry.queries().keys() == QUERIES.keys() | entry.CORPUS_QUERIES.keys()
+    assert entry.oracle_sql().keys() == ORACLES.keys() | entry.CORPUS_ORACLES.keys()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
