@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citylake.llm.bpe import encode_documents
+from citylake.llm.chatformat import format_conversations, read_back
 from citylake.llm.common import table
+from citylake.llm.fertility import fertility_rules
 from citylake.llm.registry import ORACLES, QUERIES, query
 from citylake.llm.simhash import hex_digits, near_duplicates
+from citylake.llm.topk import top_k_of_embeddings
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -23,3 +27,43 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     coded = encode_documents(docs, with_ids=False)
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op8_tokeniser_fertility")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op7_chat_byte_assembly")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    probe = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return read_back(format_conversations(turns.union(probe)))
+
+
+@query(
+    "op3_nra_topk",
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+               CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+    )
+    SELECT query_id,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM s
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_of_embeddings(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
