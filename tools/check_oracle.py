@@ -66,10 +66,15 @@ def compare(spark, con, sf_dir: str, name: str) -> list[str]:
     df = QUERIES[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     problems = [f"plan contains {word}" for word in UNWANTED if word in plan]
-    got = df.collect()
     if name not in ORACLES:
-        return [] if got else ["no rows"]
-    rel = con.execute(ORACLES[name])
+        return problems if df.collect() else [*problems, "no rows"]
+    return problems + difference(df, con, ORACLES[name])
+
+
+def difference(df, con, sql: str) -> list[str]:
+    """How the rows of `df` differ from those of `sql`: names, count, types, values."""
+    problems, got = [], df.collect()
+    rel = con.execute(sql)
     columns = [d[0] for d in rel.description]
     want = rel.fetchall()
     a_cols, a = rows_of(df.columns, got)
