@@ -10,7 +10,11 @@ from citylake.llm.chatformat import format_conversations, read_back
 from citylake.llm.common import table
 from citylake.llm.fertility import fertility_rules
 from citylake.llm.registry import ORACLES, QUERIES, query
+from citylake.llm.linededup import remove_repeated_lines
+from citylake.llm.mixing import DOMAINS, mix, quality_domains
+from citylake.llm.sepscan import count_tokens
 from citylake.llm.simhash import hex_digits, near_duplicates
+from citylake.llm import langid, toxicity
 from citylake.llm.topk import top_k_of_embeddings
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -67,3 +71,59 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_of_embeddings(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op1_toxicity_classifier_chain")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("id"), (1 - F.col("quality")).alias("low_quality"), "toxic"
+    )
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.withColumns({c: F.round(c, 6) for c in scored.columns if c.startswith("p_")})
+
+
+@query("op2_soft_membership_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rates = mix(docs, quality_domains(labels))
+    shares = [F.round(f"p_{k}", 6).alias(f"p_{d}") for k, d in enumerate(DOMAINS)]
+    return rates.select(F.col("id").alias("doc_id"), "n_tokens", *shares, F.round("rate", 6).alias("rate"))
+
+
+@query("op4_language_ftrl_tfidf")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op6_line_window_dedup",
+    r"""
+    WITH d AS (SELECT doc_id, text, str_split(text, chr(10)) AS lines FROM documents),
+    w AS (SELECT doc_id, lines, unnest(range(len(lines) - 2)) AS pos FROM d WHERE len(lines) >= 3),
+    k AS (
+        SELECT doc_id, pos, row_number() OVER (
+            PARTITION BY lines[pos + 1], lines[pos + 2], lines[pos + 3] ORDER BY doc_id, pos) AS nth
+        FROM w
+        WHERE regexp_matches(concat(lines[pos + 1], lines[pos + 2], lines[pos + 3]), '[^ \t\r\x0b\x0c]')
+    ), covered AS (
+        SELECT DISTINCT doc_id, pos + unnest([0, 1, 2]) AS pos FROM k WHERE nth > 1
+    ), l AS (
+        SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d
+    ), kept AS (
+        SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text
+        FROM l ANTI JOIN covered USING (doc_id, pos) GROUP BY doc_id
+    ), lost AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id)
+    SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text,
+           CAST(coalesce(lost.n, 0) AS INTEGER) AS lines_removed
+    FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeated_lines(docs)
+
+
+@query("op9_separator_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens")
