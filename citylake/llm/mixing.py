@@ -208,3 +208,14 @@ def mix(
     """(id, row, n_tokens, p_0, ..., rate) of `docs` (doc_id, text) for `labels` (id, domain)."""
     model, priors = fit_classifier(docs, labels, domains)
     return fit_rates(memberships(docs, model, priors), targets, size, least)
+
+
+def repeat_by_rate(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row of `docs` as many times as its rate says, zero times included."""
+    drawn = rates.select(
+        F.col("id").alias("__id"), F.col("row").alias("__row"), copies(F.col("rate"), "id", "row").alias("__copies")
+    )
+    drawn = staged(drawn, "mixing-copies")
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__row"))
+    often = docs.join(drawn, same).filter("__copies > 0")
+    return often.select(*docs.columns, F.explode(F.sequence(F.lit(1), "__copies")).alias("__n")).select(*docs.columns)

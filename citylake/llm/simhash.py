@@ -54,17 +54,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the 64 bits as a signed long."""
+    """(doc_id, row, fp): a hash of the text, and the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in text_slices(batch.column(1)):
                 fps = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
-                ids = batch.column(0).slice(at, len(texts))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(fps)], ["doc_id", "fp"])
+                ids, rows = (batch.column(c).slice(at, len(texts)) for c in (0, 2))
+                yield pa.RecordBatch.from_arrays([ids, rows, pa.array(fps)], ["doc_id", "row", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(
+        F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.xxhash64(text_col).alias("row")
+    )
+    return rows.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def covering_masks(bits: list[int], radius: int = RADIUS) -> list[int]:
@@ -159,7 +161,8 @@ def near_duplicates(
     radius: int = RADIUS,
     direct: int = DIRECT,
 ) -> DataFrame:
-    """(doc_id, fp, component_id) for every row; component_id is the smallest doc_id reachable."""
+    """(doc_id, row, fp, root, component_id) for every row; component_id is the smallest doc_id
+    reachable, root the smallest fingerprint, `row` a hash of the text."""
     prints = staged(fingerprints(docs, id_col, text_col), "simhash-prints")
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     roots = components(bucket_links(nodes.select("fp"), radius, direct))
@@ -170,8 +173,23 @@ def near_duplicates(
         "simhash-roots",
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = staged(rooted.join(ids, "root").select("fp", "component_id"), "simhash-classes")
-    return prints.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    of_fp = staged(rooted.join(ids, "root").select("fp", "root", "component_id"), "simhash-classes")
+    return prints.join(of_fp, "fp").select("doc_id", "row", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each component: that of the smallest doc_id (ties: of the smallest text hash)."""
+    found = staged(near_duplicates(docs, id_col, text_col, **options), "simhash-found")
+    chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = staged(
+        chosen.groupBy("root", "component_id")
+        .agg(F.min("row").alias("__row"))
+        .select(F.col("component_id").alias("__id"), "__row"),
+        "simhash-chosen",
+    )
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__row"))
+    kept = docs.join(chosen, same).dropDuplicates(["__id", "__row"])
+    return kept.select(*docs.columns)
 
 
 def hex_digits(fp) -> F.Column:
