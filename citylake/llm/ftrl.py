@@ -9,6 +9,11 @@ from __future__ import annotations
 import numpy as np
 
 
+def summed(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sum of `values` by place; bincount alone would give whole numbers for no values."""
+    return np.bincount(at, values, size).astype(np.float64)
+
+
 class Rows:
     """Sparse rows: feature numbers and values, end to end."""
 
@@ -57,12 +62,12 @@ class Ftrl:
                 used, place = np.unique(np.append(features, len(self.z) - 1), return_inverse=True)
                 place, w = place[:-1], self.weights(used)
                 scores = np.stack(
-                    [np.bincount(which, values * w[place, c], len(part)) for c in range(classes)], axis=1
+                    [summed(which, values * w[place, c], len(part)) for c in range(classes)], axis=1
                 )
                 miss = softmax(scores + w[-1])
                 miss[np.arange(len(part)), labels[part]] -= 1
                 g = np.stack(
-                    [np.bincount(place, values * miss[which, c], len(used)) for c in range(classes)], axis=1
+                    [summed(place, values * miss[which, c], len(used)) for c in range(classes)], axis=1
                 )
                 g[-1] += miss.sum(axis=0)
                 root = np.sqrt(self.n[used])
@@ -73,5 +78,5 @@ class Ftrl:
     def scores(self, rows: Rows) -> np.ndarray:
         w = self.weights()
         features, values, which = rows.take(np.arange(len(rows)))
-        out = [np.bincount(which, values * w[features, c], len(rows)) for c in range(w.shape[1])]
+        out = [summed(which, values * w[features, c], len(rows)) for c in range(w.shape[1])]
         return np.stack(out, axis=1) + w[-1]

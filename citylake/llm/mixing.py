@@ -4,9 +4,9 @@ A naive Bayes classifier over hashed tokens, fitted on a labelled table, gives e
 document a posterior over domains; a document's tokens belong to the domains in these
 shares. Projected gradient steps then fit one nonnegative rate per document so that the
 expected tokens of each domain meet the targets in least squares. The residuals (one per
-domain) are whitened by the Gram matrix of the memberships, which makes the step length 1
-safe; a step needs the domains' totals, one aggregation, and nothing per document leaves
-the cluster.
+domain) are whitened by the Gram matrix of the memberships, so that a step of
+length 1 is near the best; a step that does not bring the totals nearer is halved. A step
+needs the domains' totals, one aggregation, and nothing per document leaves the cluster.
 
 Cases. Null text and texts without a token have no tokens, the prior as posterior and the
 starting rate. Rows that repeat (id, text) are one variable and their tokens count
@@ -32,6 +32,7 @@ PER_DOMAIN = 2000
 EVIDENCE = 30.0
 STEPS = 80
 CLOSE = 1e-7
+RESTART = 8
 #: White space, or the place where a word ends and other characters begin.
 CUT = r"\s+|(?<=[\p{L}\p{N}])(?=[^\p{L}\p{N}\s])"
 
@@ -146,35 +147,46 @@ def fit_rates(
         ),
         "mixing-mass",
     )
-    gram = mass.agg(
-        F.sum("n_tokens").alias("all"),
-        *[F.sum(F.col(f"a_{i}") * F.col(f"a_{j}")).alias(f"g_{i}_{j}") for i in ks for j in ks if i <= j],
-    ).first()
-    total = float(gram["all"] or 0)
+    total = float(mass.agg(F.sum("n_tokens")).first()[0] or 0)
     if not total:
         return mass.drop(*[f"a_{k}" for k in ks])
-    square = np.array([[gram[f"g_{min(i, j)}_{max(i, j)}"] for j in ks] for i in ks])
-    inverse = np.linalg.pinv(square, rcond=1e-10, hermitian=True)
     wanted = np.array(targets, float) / sum(targets) * total * size
-    rate, since, best, idle = F.col("rate"), 0, math.inf, 0
+    metric = _whitening(mass, ks)
+
+    def residual(rates) -> np.ndarray:
+        return np.array(mass.agg(*[F.sum(rates * F.col(f"a_{k}")) for k in ks]).first(), float) - wanted
+
+    rate, since, length, idle = F.col("rate"), 0, 1.0, 0
+    miss = residual(rate)
     for _ in range(steps):
-        sums = mass.agg(*[F.sum(rate * F.col(f"a_{k}")) for k in ks]).first()
-        residual = np.array(sums, float) - wanted
-        error = float(residual @ inverse @ residual) / float(wanted @ inverse @ wanted)
-        idle = idle + 1 if error > best * (1 - 1e-4) else 0
-        best = min(best, error)
-        if np.abs(residual).max() <= close * wanted.sum() or idle >= 3:
+        if np.abs(miss).max() <= close * wanted.sum() or idle >= 4:
             break
-        step = inverse @ residual
+        step = length * (metric @ miss)
         move = reduce(lambda a, b: a + b, [float(step[k]) * F.col(f"a_{k}") for k in ks])
-        rate, since = F.greatest(F.lit(float(least)), rate - move), since + 1
-        if since == 8:  # keep the expression short
+        tried = F.greatest(F.lit(float(least)), rate - move)
+        found = residual(tried)
+        before, after = float(miss @ metric @ miss), float(found @ metric @ found)
+        idle = idle + 1 if after > before * (1 - 1e-4) else 0
+        if after > before:
+            length /= 2
+            continue
+        rate, miss, since = tried, found, since + 1
+        if since == RESTART:  # keep the expression short, whiten by the rows that can move
             moved = staged(mass.withColumn("rate", rate), "mixing-mass")
             discard(mass)
-            mass, rate, since = moved, F.col("rate"), 0
+            mass, rate, since, length = moved, F.col("rate"), 0, 1.0
+            metric = _whitening(mass.filter(F.col("rate") > least), ks)
     return mass.withColumn("rate", rate).drop(*[f"a_{k}" for k in ks])
 
 
+def _whitening(mass: DataFrame, ks: range) -> np.ndarray:
+    """Inverse of the Gram matrix of the memberships: one row and column per domain."""
+    cells = [F.sum(F.col(f"a_{i}") * F.col(f"a_{j}")).alias(f"g_{i}_{j}") for i in ks for j in ks if i <= j]
+    gram = mass.agg(*cells).first()
+    square = [[float(gram[f"g_{min(i, j)}_{max(i, j)}"] or 0) for j in ks] for i in ks]
+    return np.linalg.pinv(np.array(square), rcond=1e-10, hermitian=True)
+
+
 def copies(rate, *key) -> F.Column:
     """Whole copies for a rate: its integer part, and one more with the probability of the rest,
     drawn from a hash of `key`."""
