@@ -14,7 +14,7 @@ from citylake.functions.timegrain import add_time_grain
 from citylake.operators.kpi import hour_kpis
 from citylake.operators.quality import first_row, require
 from citylake.operators.upsert import upsert_days
-from citylake.schemas import bronze_schema
+from citylake.schemas import bronze_schema, landed_schema
 from citylake.session import shared_dir
 from citylake.sources import readers as rd
 from citylake.sources import sinks as sk
@@ -193,6 +193,52 @@ def _(spark, sf):
     return spark.read.parquet(target)
 
 
+_LOCAL = "(ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Lima'"
+
+
+@query(
+    "stream_upsert_tz",
+    R
+    + f"""SELECT zona, CAST({_LOCAL} AS DATE) AS fecha, CAST(hour({_LOCAL}) AS INTEGER) AS hora, count(*) AS n, max(v) AS v
+    FROM r GROUP BY ALL""",
+)
+def _(spark, sf):
+    """Days of another time zone, from batches that split them: no hour is lost."""
+    landed, target = shared_dir(spark, "bronze"), shared_dir(spark, "gold")
+    r = readings(spark, sf).select("event_id", "zona", "v", F.col("ts").cast("timestamp").alias("_ingest_ts"))
+    sk.append_bronze(r, "gps_rutas", landed, F.col("_ingest_ts"), by=("ingest_date",))
+
+    def rebuild(bronze):
+        grained = add_time_grain(bronze, "_ingest_ts", "America/Lima")
+        return grained.groupBy("zona", "fecha", "hora").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("v"))
+
+    stream = st.landed_stream(spark, landed, spark.read.parquet(landed).schema, files_per_batch=4)
+    st.refresh_days(stream, landed, target, st.checkpoint_path(spark, "refresh"), rebuild, once=True).awaitTermination()
+    return spark.read.parquet(target)
+
+
+@query(
+    "landed_drift",
+    R
+    + """SELECT event_id, zona, CAST(k AS DOUBLE) AS intensidad_veh_hora, CASE WHEN fecha >= DATE '2024-01-10' THEN congestion_ratio END AS congestion_ratio,
+    CASE WHEN fecha >= DATE '2024-01-20' THEN 'avenida' END AS tipo_corredor, fecha AS ingest_date FROM r""",
+)
+def _(spark, sf):
+    """Batches that disagree on integer or double, and columns that appear later, land as declared."""
+    path = shared_dir(spark, "drift")
+    r = readings(spark, sf).withColumn("_ingest_ts", F.col("ts").cast("timestamp"))
+    keep = ["event_id", "zona", "_ingest_ts"]
+    layouts = [
+        ("fecha < '2024-01-10'", [F.col("k").alias("intensidad_veh_hora")]),
+        ("fecha >= '2024-01-10' AND fecha < '2024-01-20'", [F.col("k").cast("string").alias("intensidad_veh_hora"), "congestion_ratio"]),
+        ("fecha >= '2024-01-20'", [F.col("k").cast("double").alias("intensidad_veh_hora"), "congestion_ratio", F.lit("avenida").alias("tipo_corredor")]),
+    ]
+    for when, columns in layouts:
+        sk.append_bronze(r.filter(when).select(*keep, *columns), "sensores_trafico", path, F.col("_ingest_ts"), by=("ingest_date",))
+    landed = rd.read_landed(spark, path, landed_schema("sensores_trafico", "event_id long"))
+    return landed.select("event_id", "zona", "intensidad_veh_hora", "congestion_ratio", "tipo_corredor", "ingest_date")
+
+
 @query(
     "stream_ingest",
     R + "SELECT event_id, 'A' || k AS sensor_id, CAST(floor(v) AS INTEGER) AS intensidad, fecha AS ingest_date, 'sensores_trafico' AS _fuente FROM r",
@@ -238,21 +284,24 @@ def _landed_sources(spark, sf):
     "incremental_gold",
     o.ctes(o.GOLD.replace("(SELECT max(total_vehiculos_zona) FROM gold0) AS cam_max", f"{_REFERENCE}::DOUBLE AS cam_max"))
     + """SELECT zona, fecha, hora, congestion_factor, indice_congestion, congestion_factor_lag1h, indice_congestion_lag1h, tendencia_congestion, nivel_congestion, tiene_evento
-    FROM gold WHERE fecha BETWEEN DATE '2024-01-09' AND DATE '2024-01-15'""",
+    FROM gold""",
 )
 def _(spark, sf):
-    """Two overlapping refresh runs give the same rows and lags as one full build.
-
-    The first run starts a day early so that its own first rows, which have no
-    stored predecessor, fall outside the compared days.
-    """
+    """Three overlapping refresh runs over all days give the rows and lags of one full build."""
     from citylake.plans.jobs import refresh_gold
 
     bronze, out = _landed_sources(spark, sf), shared_dir(spark, "gold")
-    runs = [(datetime.datetime(2024, 1, 12, 23), 24 * 11), (datetime.datetime(2024, 1, 15, 23), 24 * 4)]
+    runs = [
+        (datetime.datetime(2024, 1, 12, 23), 24 * 12),
+        (datetime.datetime(2024, 1, 15, 23), 24 * 4),
+        (datetime.datetime(2024, 2, 1, 23), 24 * 18),
+    ]
     for as_of, hours in runs:
-        table_ = refresh_gold(spark, bronze, out, list(SOURCE_ORDER), as_of, _REFERENCE, hours, order=SOURCE_ORDER, storage=False)
-    return table_.filter(F.col("fecha").between(datetime.date(2024, 1, 9), datetime.date(2024, 1, 15))).select(
+        table_ = refresh_gold(
+            spark, bronze, out, list(SOURCE_ORDER), as_of, _REFERENCE, hours,
+            order=SOURCE_ORDER, storage=False, extra="event_id long, doc_id long",
+        )
+    return table_.select(
         "zona", "fecha", "hora", "congestion_factor", "indice_congestion", "congestion_factor_lag1h",
         "indice_congestion_lag1h", "tendencia_congestion", "nivel_congestion", "tiene_evento",
     )

@@ -133,12 +133,10 @@ def _(spark, sf):
 
 @query(
     "ovr_argmax",
-    "SELECT vec_id, CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS DOUBLE) AS prediction FROM embeddings",
+    "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS DOUBLE) AS prediction FROM embeddings",
 )
 def _(spark, sf):
-    return table(spark, sf, "embeddings").select(
-        "vec_id", md.argmax(F.slice("embedding", 1, 10)).alias("prediction")
-    )
+    return table(spark, sf, "embeddings").select("vec_id", md.argmax(F.col("embedding")).alias("prediction"))
 
 
 def compared(spark, sf):
@@ -157,11 +155,8 @@ def _(spark, sf):
 
 @query("m_best_model")
 def _(spark, sf):
-    """Best-model card from a live comparison of the quick candidates."""
-    ready = pp.prepare(training_rows(spark, sf), TARGET)
-    pool = md.candidates(TARGET, ready.size, len(ready.selection.labels))
-    quick = [c for c in pool if c.name in ("DecisionTree", "LogisticRegression", "NaiveBayes")]
-    results, _ = ev.train_and_compare(ready, quick)
+    """Best-model card from a live comparison of all nine classifiers."""
+    ready, results, _ = compared(spark, sf)
     ready.release()
     return measures.best_model(results)
 
@@ -171,7 +166,7 @@ def _(spark, sf):
     """Train, save, load and relabel: unscorable rows keep the rule label."""
     rows = training_rows(spark, sf)
     ready = pp.prepare(rows, TARGET)
-    mlp = next(c for c in md.candidates(TARGET, ready.size, len(ready.selection.labels), iterations=30) if c.name == "MLP")
+    mlp = next(c for c in md.candidates(TARGET, ready.size, len(ready.selection.labels)) if c.name == "MLP")
     path = shared_dir(spark, "model")
     store.save(ready, mlp.estimator.fit(ready.train), mlp.name, path)
     ready.release()

@@ -108,7 +108,7 @@ def _(spark, sf):
 
 _ANCHOR = r'<a href="([^"]*)">([^<]*)</a>'
 _ITEM = (
-    "<item><title><![CDATA[ {0}2 ]]></title><description>Ver <b>{0}2</b> por accidente en la vía</description>"
+    "<item><title><![CDATA[ {0}2 ]]></title><description>Ver <b>{0}2</b> " + "aquí " * 70 + "por accidente en la vía</description>"
     "<link>http://feed.example{0}1</link><pubDate>{0}1</pubDate></item>"
 )
 
@@ -129,9 +129,9 @@ RSS_SQL = o.ctes(
     f"a AS (SELECT page_id, {_rx(pl.FEED_TITLE)} AS ts, {_rx(pl.FEED_DESCRIPTION)} AS ds, {_rx(pl.FEED_LINK)} AS ls, {_rx(pl.FEED_DATE)} AS fs FROM f)",
     "i AS (SELECT page_id, CAST(unnest(range(1, len(ts))) AS INTEGER) AS pos, ts, ds, ls, fs FROM a)",
     r"""x AS (SELECT page_id, pos, regexp_replace(regexp_replace(ts[pos + 1], '<[^>]+>', '', 'g'), '^\s+|\s+$', '', 'g') AS t,
-    substr(regexp_replace(regexp_replace(coalesce(ds[pos + 1], ''), '<[^>]+>', '', 'g'), '^\s+|\s+$', '', 'g'), 1, 300) AS d,
+    regexp_replace(regexp_replace(coalesce(ds[pos + 1], ''), '<[^>]+>', '', 'g'), '^\s+|\s+$', '', 'g') AS d,
     coalesce(ls[pos + 1], '') AS l, substr(coalesce(fs[pos], ''), 1, 50) AS f FROM i)""",
-) + f"""SELECT page_id, 'web' AS fuente, pos, substr(md5(CASE WHEN l <> '' THEN l ELSE t END), 1, 12) AS item_id, substr(t, 1, 200) AS titulo, d AS descripcion, l AS url, f AS fecha_publicacion,
+) + f"""SELECT page_id, 'web' AS fuente, pos, substr(md5(CASE WHEN l <> '' THEN l ELSE t END), 1, 12) AS item_id, substr(t, 1, 200) AS titulo, substr(d, 1, 300) AS descripcion, l AS url, f AS fecha_publicacion,
     {o.relevance_sql(_TEXT)} AS relevance_score, {o.sentiment_sql(_TEXT)} AS sentiment, {o.relevance_sql(_TEXT)} > 0 AS es_trafico FROM x WHERE t <> ''"""
 
 

@@ -9,7 +9,7 @@ from citylake.catalog.products import cleaned, gold
 from citylake.catalog.registry import query
 from citylake.catalog.views import bronze_sources, city_events, news, pick, readings, table
 from citylake.dims import DETECTORS, EVENT_TYPES, SENTIMENTS, ZONE_NAMES, detector_frame, zone_frame
-from citylake.functions.numeric import np_round
+from citylake.functions.numeric import clip, np_round
 from citylake.functions.timegrain import add_time_grain
 from citylake.operators import profile as pf
 from citylake.operators import rollup as ru
@@ -276,23 +276,24 @@ _FILL = ["mean_v", "mean_velocidad_kmh"]
     "circular_fill",
     o.ctes(
         o.READINGS,
-        "p AS (SELECT zona, hora, round_even(avg(v), 4) AS mean_v, round_even(avg(velocidad_kmh), 4) AS mean_velocidad_kmh FROM r WHERE v > 250 GROUP BY zona, hora)",
-        "g AS (SELECT zona, CAST(unnest(range(24)) AS INTEGER) AS hora FROM (SELECT DISTINCT zona FROM p))",
+        "p AS (SELECT user_id AS zona, hora, round_even(avg(v), 4) AS mean_v, round_even(avg(velocidad_kmh), 4) AS mean_velocidad_kmh FROM r GROUP BY user_id, hora)",
+        "g AS (SELECT zona, CAST(unnest(range(24)) AS INTEGER) AS hora FROM (SELECT DISTINCT zona FROM p UNION SELECT c_custkey FROM customer))",
         """nb AS (SELECT g.zona, g.hora, avg(p.mean_v) AS nv, avg(p.mean_velocidad_kmh) AS ns FROM g JOIN p ON p.zona = g.zona
     AND (p.hora - g.hora + 24) % 24 IN (1, 2, 22, 23) GROUP BY g.zona, g.hora)""",
     )
-    + """SELECT g.zona, g.hora, p.zona IS NOT NULL AS observado,
+    + """SELECT g.zona AS user_id, g.hora, p.zona IS NOT NULL AS observado,
     round_even(CASE WHEN p.zona IS NOT NULL THEN p.mean_v ELSE nv END, 9) AS mean_v,
     round_even(CASE WHEN p.zona IS NOT NULL THEN p.mean_velocidad_kmh ELSE coalesce(ns, 35.0::DOUBLE) END, 9) AS mean_velocidad_kmh
     FROM g LEFT JOIN p ON p.zona = g.zona AND p.hora = g.hora LEFT JOIN nb ON nb.zona = g.zona AND nb.hora = g.hora""",
 )
 def _(spark, sf):
-    """Profile of extreme readings, which leave many hours of the day empty."""
-    extreme = readings(spark, sf).filter("v > 250").groupBy("zona", "hora").agg(
+    """A profile per user, which leaves hours of the day empty; customers without a reading get the defaults."""
+    per_user = readings(spark, sf).groupBy("user_id", "hora").agg(
         np_round(F.avg("v"), 4).alias("mean_v"), np_round(F.avg("velocidad_kmh"), 4).alias("mean_velocidad_kmh")
     )
-    filled = se.circular_fill(extreme, _FILL, PROFILE_DEFAULTS)
-    return filled.select("zona", "hora", "observado", *[np_round(c, 9).alias(c) for c in _FILL])
+    everyone = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    filled = se.circular_fill(per_user, _FILL, PROFILE_DEFAULTS, "user_id", everyone)
+    return filled.select("user_id", "hora", "observado", *[np_round(c, 9).alias(c) for c in _FILL])
 
 
 @query(
@@ -366,13 +367,14 @@ def _(spark, sf):
     o.ctes(
         o.GOLD,
         "c AS (SELECT zona, hora, count(*) AS n, count(*) FILTER (WHERE nivel_congestion = 'alto') AS a, count(*) FILTER (WHERE nivel_congestion = 'medio') AS m, count(*) FILTER (WHERE nivel_congestion = 'bajo') AS b FROM gold GROUP BY zona, hora)",
-        """p AS (SELECT zona, hora, n, CASE WHEN n >= 3 AND a > 0 THEN a / n ELSE 0.33::DOUBLE END AS pa, CASE WHEN n >= 3 AND m > 0 THEN m / n ELSE 0.34::DOUBLE END AS pm,
-    CASE WHEN n >= 3 AND b > 0 THEN b / n ELSE 0.33::DOUBLE END AS pb FROM c)""",
+        f"z AS (SELECT zona, CAST(unnest(range(24)) AS INTEGER) AS hora FROM (SELECT unnest({o.sql_list(ZONE_NAMES)}) AS zona))",
+        """p AS (SELECT zona, hora, coalesce(n, 0) AS n, CASE WHEN n >= 3 AND a > 0 THEN a / n ELSE 0.33::DOUBLE END AS pa, CASE WHEN n >= 3 AND m > 0 THEN m / n ELSE 0.34::DOUBLE END AS pm,
+    CASE WHEN n >= 3 AND b > 0 THEN b / n ELSE 0.33::DOUBLE END AS pb FROM z LEFT JOIN c USING (zona, hora))""",
     )
     + "SELECT zona, hora, n, pa / (pa + pm + pb) AS p_alto, pm / (pa + pm + pb) AS p_medio, pb / (pa + pm + pb) AS p_bajo FROM p",
 )
 def _(spark, sf):
-    return pf.class_probabilities(gold(spark, sf))
+    return pf.class_probabilities(gold(spark, sf), keys=zone_frame(spark).select("zona"))
 
 
 _N = len(EVENT_TYPES)
@@ -384,12 +386,13 @@ _TYPED = "['deportivo', 'cultural', 'accidente', 'obras', 'otro'][CAST(o_orderke
     f"""WITH e AS (SELECT CAST(o_orderdate AS DATE) AS fecha, {_TYPED} AS tipo FROM orders),
     t AS (SELECT unnest({o.sql_list(EVENT_TYPES)}) AS tipo),
     s AS (SELECT t.tipo, CASE WHEN count(e.tipo) > 0 THEN count(e.tipo) / (SELECT count(tipo) FROM e) ELSE 1.0::DOUBLE / {_N} END AS p FROM t LEFT JOIN e USING (tipo) GROUP BY t.tipo)
-    SELECT (SELECT least(count(*) / greatest(count(DISTINCT fecha) * 6, 1), 0.30::DOUBLE) FROM e) AS prob_evento, tipo, round_even(p / (SELECT sum(p) FROM s), 9) AS prob_tipo FROM s""",
+    SELECT (SELECT count(*) / greatest(count(DISTINCT fecha) * 6, 1) FROM e) AS prob_evento, (SELECT least(count(*) / greatest(count(DISTINCT fecha) * 6, 1), 0.30::DOUBLE) FROM e) AS prob_acotada, tipo, round_even(p / (SELECT sum(p) FROM s), 9) AS prob_tipo FROM s""",
 )
 def _(spark, sf):
     tipo = pick(F.col("o_orderkey") % 5, ["deportivo", "cultural", "accidente", "obras", "otro"])
     events = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("fecha"), tipo.alias("tipo"))
-    return pf.event_rate(events, 6).withColumn("prob_tipo", np_round("prob_tipo", 9))
+    rates = pf.event_rate(events, 6)
+    return rates.withColumns({"prob_tipo": np_round("prob_tipo", 9), "prob_acotada": clip("prob_evento", None, 0.30)})
 
 
 _PS = ", ".join(f"CASE WHEN count(*) FILTER (WHERE sentiment = '{s}') > 0 THEN count(*) FILTER (WHERE sentiment = '{s}') / count(sentiment) ELSE 1.0::DOUBLE / 3 END AS {s}" for s in SENTIMENTS)
@@ -401,11 +404,11 @@ _PS = ", ".join(f"CASE WHEN count(*) FILTER (WHERE sentiment = '{s}') > 0 THEN c
         o.NEWS,
         f"c AS (SELECT count(*) AS n, count(DISTINCT (fecha, hora)) AS b, count(*) FILTER (WHERE es_trafico) AS tr, {_PS} FROM nw0)",
     )
-    + "SELECT least(greatest(n / greatest(b, 1), 2.0::DOUBLE), 10.0::DOUBLE) AS n_por_lote, tr / n AS pct_trafico, "
+    + "SELECT n / greatest(b, 1) AS n_por_lote, least(greatest(n / greatest(b, 1), 2.0::DOUBLE), 10.0::DOUBLE) AS n_acotado, tr / n AS pct_trafico, "
     + ", ".join(f"{s} / (positivo + neutro + negativo) AS p_{s}" for s in SENTIMENTS)
     + " FROM c",
 )
 def _(spark, sf):
-    return pf.news_rate(news(spark, sf))
+    return pf.news_rate(news(spark, sf)).withColumn("n_acotado", clip("n_por_lote", 2.0, 10.0))
 
 

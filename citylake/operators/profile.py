@@ -56,13 +56,20 @@ def weekday_factors(df: DataFrame, metric: str = "congestion_ratio", digits: int
     return by_day.select("dia_semana", F.coalesce(F.try_divide(F.col("m"), overall), F.lit(1.0)).alias("factor"))
 
 
-def class_probabilities(df: DataFrame, priors: dict[str, float] = LEVEL_PRIORS, at_least: int = 3) -> DataFrame:
+def class_probabilities(
+    df: DataFrame, priors: dict[str, float] = LEVEL_PRIORS, at_least: int = 3, keys: DataFrame | None = None
+) -> DataFrame:
     """Label probabilities per zone and hour, renormalised.
 
-    Too few rows give the priors; a label never seen takes its prior as well.
+    Too few rows give the priors; a label never seen takes its prior as well. Every
+    zone of `keys` gets all 24 hours; the rows added for that weigh nothing.
     """
-    counted = df.groupBy("zona", "hora").agg(
-        F.count(F.lit(1)).alias("n"),
+    rows = df.select("zona", "hora", "nivel_congestion", F.lit(1).alias("_w"))
+    if keys is not None:
+        hours = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hora")
+        rows = rows.unionByName(keys.select("zona", hours), allowMissingColumns=True)
+    counted = rows.groupBy("zona", "hora").agg(
+        F.count("_w").alias("n"),
         F.count("nivel_congestion").alias("labelled"),
         *[F.count_if(F.col("nivel_congestion") == c).alias(f"n_{c}") for c in priors],
     )
@@ -78,10 +85,11 @@ def class_probabilities(df: DataFrame, priors: dict[str, float] = LEVEL_PRIORS,
     return filled.withColumn("_t", total).select("zona", "hora", "n", *[(F.col(c) / F.col("_t")).alias(c) for c in names])
 
 
-def event_rate(events: DataFrame, zones: int, types: list[str] = EVENT_TYPES, cap: float = 0.30) -> DataFrame:
-    """Event probability per zone and day (capped) with the distribution of types.
+def event_rate(events: DataFrame, zones: int, types: list[str] = EVENT_TYPES, cap: float | None = None) -> DataFrame:
+    """Events per zone and day with the distribution of types.
 
-    Unseen types get an even share before renormalising.
+    Unseen types get an even share before renormalising. `cap` bounds the rate for
+    callers that use it as a probability.
     """
     even = 1.0 / len(types)
     counts = events.agg(
@@ -90,7 +98,7 @@ def event_rate(events: DataFrame, zones: int, types: list[str] = EVENT_TYPES, ca
         F.countDistinct("fecha").alias("days"),
         *[F.count_if(F.col("tipo") == t).alias(f"n_{t}") for t in types],
     )
-    prob = F.least(F.col("n") / F.greatest(F.col("days") * zones, F.lit(1)), F.lit(cap))
+    prob = clip(F.col("n") / F.greatest(F.col("days") * zones, F.lit(1)), None, cap)
     shares = [
         F.when(F.col(f"n_{t}") > 0, F.try_divide(F.col(f"n_{t}"), F.col("typed"))).otherwise(F.lit(even)) for t in types
     ]
@@ -99,8 +107,8 @@ def event_rate(events: DataFrame, zones: int, types: list[str] = EVENT_TYPES, ca
     return counts.withColumn("prob_evento", prob).withColumn("_t", total).select("prob_evento", F.inline(rows))
 
 
-def news_rate(news: DataFrame, batch: str = "_ingest_ts", low: float = 2.0, high: float = 10.0) -> DataFrame:
-    """Items per batch (bounded), sentiment distribution, share of traffic items."""
+def news_rate(news: DataFrame, batch: str = "_ingest_ts", low: float | None = None, high: float | None = None) -> DataFrame:
+    """Items per batch (bounded where asked), sentiment distribution, share of traffic items."""
     counts = news.agg(
         F.count(F.lit(1)).alias("n"),
         F.count("sentiment").alias("felt"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,17 +33,34 @@ def lag_features(gold: DataFrame, key: str = "zona", order: list[str] = ("fecha"
     )
 
 
-def lag_features_incremental(fresh: DataFrame, history: DataFrame, since: Column) -> DataFrame:
+def last_rows(history: DataFrame, zones: DataFrame, days: list[date]) -> DataFrame:
+    """The newest stored row of each zone, reading as few of the stored `days` as hold one.
+
+    Starts with the newest day and doubles the span back while a zone of `zones` has no
+    row in it; every step is bounded on both sides by partition.
+    """
+    days, span = sorted(days), 1
+    wanted = zones.select("zona").distinct()
+    while True:
+        part = days[-span:]
+        near = history.filter(F.col("fecha").between(part[0], part[-1])) if part else history.filter(F.lit(False))
+        last = latest_rows(near)
+        if span >= len(days) or wanted.join(last, "zona", "left_anti").isEmpty():
+            return last
+        span *= 2
+
+
+def lag_features_incremental(fresh: DataFrame, history: DataFrame, days: list[date]) -> DataFrame:
     """Lags for a run that sees recent hours only.
 
-    The last stored hour before `since` of each zone is put in front of the fresh
-    rows, so the first fresh row has the same lag a full run would give it.
+    The last stored hour of each zone among the stored `days` (all before the fresh
+    ones) is put in front of the fresh rows, so the first fresh row has the same lag a
+    full run would give it.
     """
-    carried = ["fecha", "hora", "congestion_factor", "indice_congestion"]
-    before = history.filter(F.col("fecha") < since).select("zona", *carried)
-    last = before.groupBy("zona").agg(F.max_by(F.struct(*carried), F.struct("fecha", "hora")).alias("r"))
+    carried = ["zona", "fecha", "hora", "congestion_factor", "indice_congestion"]
+    last = last_rows(history.select(*carried), fresh, days)
     both = fresh.withColumn("_carry", F.lit(False)).unionByName(
-        last.select("zona", "r.*", F.lit(True).alias("_carry")), allowMissingColumns=True
+        last.select(*carried, F.lit(True).alias("_carry")), allowMissingColumns=True
     )
     return lag_features(both).filter(~F.col("_carry")).drop("_carry")
 
@@ -52,8 +71,10 @@ def latest_rows(df: DataFrame, key: str = "zona", order: list[str] = ("fecha", "
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def circular_fill(profile: DataFrame, metrics: list[str], defaults: dict[str, float], key: str = "zona") -> DataFrame:
-    """A full 24-hour profile per zone.
+def circular_fill(
+    profile: DataFrame, metrics: list[str], defaults: dict[str, float], key: str = "zona", keys: DataFrame | None = None
+) -> DataFrame:
+    """A full 24-hour profile per zone, and for every row of `keys` if given.
 
     A missing hour takes the mean of the observed hours one and two steps away
     around midnight, or the defaults if there are none. Every observed hour is
@@ -63,7 +84,8 @@ def circular_fill(profile: DataFrame, metrics: list[str], defaults: dict[str, fl
     sent = profile.select(key, "hora", *metrics, F.explode(F.array(*[F.lit(d) for d in (-2, -1, 0, 1, 2)])).alias("_d"))
     sent = sent.withColumn("hora", F.pmod(F.col("hora") + F.col("_d"), F.lit(24)).cast("int"))
     hours = F.explode(F.sequence(F.lit(0), F.lit(23)))
-    frame = profile.select(key).distinct().select(key, hours.alias("hora"))
+    known = profile.select(key) if keys is None else profile.select(key).union(keys.select(key))
+    frame = known.distinct().select(key, hours.alias("hora"))
     own = F.col("_d") == 0
     merged = sent.unionByName(frame, allowMissingColumns=True).groupBy(key, "hora").agg(
         F.coalesce(F.bool_or(own), F.lit(False)).alias("observado"),

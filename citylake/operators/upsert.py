@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citylake.operators.quality import union_common
-from citylake.session import shared_dir
+from citylake.session import remove_dir, shared_dir
 from citylake.sources.readers import read_or_empty
 from citylake.sources.sinks import overwrite_days
 
@@ -45,12 +45,25 @@ def upsert_days(fresh: DataFrame, path: str, key: list[str] = GOLD_KEY, common:
     spark = fresh.sparkSession
     stage = shared_dir(spark, "upsert")
     fresh.write.parquet(f"{stage}/fresh")
-    fresh = spark.read.parquet(f"{stage}/fresh")
-    # One value per day: this list is as long as the refresh window, not as the data.
-    days = [r.fecha for r in fresh.select("fecha").distinct().collect()]
-    if not days:
-        return
-    stored = read_or_empty(spark, path, fresh.schema).filter(F.col("fecha").isin(days))
-    newest_wins([stored, fresh], key, common).write.parquet(f"{stage}/merged")
-    merged = spark.read.parquet(f"{stage}/merged")
-    overwrite_days(merged, path, "fecha", ["zona", "hora"])
+    fresh = spark.read.schema(fresh.schema).parquet(f"{stage}/fresh")
+    first, last = fresh.agg(F.min("fecha"), F.max("fecha")).first()
+    if first is not None:
+        days = fresh.select("fecha").distinct()
+        stored = read_or_empty(spark, path, fresh.schema).filter(F.col("fecha").between(first, last))
+        newest_wins([stored.join(days, "fecha", "left_semi"), fresh], key, common).write.parquet(f"{stage}/merged")
+        merged = spark.read.parquet(f"{stage}/merged")
+        overwrite_days(merged, path, "fecha", ["zona", "hora"])
+    remove_dir(spark, stage)
+
+
+def replace_days(fresh: DataFrame, path: str) -> None:
+    """Put whole recomputed days in the place of the stored ones.
+
+    What a correction took out of a day does not stay, as it would after a merge by
+    key. `fresh` may read the table it replaces: it is staged first.
+    """
+    spark = fresh.sparkSession
+    stage = shared_dir(spark, "replace")
+    fresh.write.parquet(stage)
+    overwrite_days(spark.read.schema(fresh.schema).parquet(stage), path, "fecha", ["zona", "hora"])
+    remove_dir(spark, stage)

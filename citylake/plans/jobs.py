@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,31 +14,36 @@ from citylake.operators.profile import (
     class_probabilities,
     event_rate,
     news_rate,
-    recent_or_wider,
     weekday_factors,
     zone_hour_profile,
 )
 from citylake.operators.series import circular_fill, lag_features, lag_features_incremental
-from citylake.operators.upsert import upsert_days
+from citylake.operators.upsert import replace_days
 from citylake.plans.gold import add_features, add_label, flags_as_int, join_sources
 from citylake.plans.silver import silver
 from citylake.functions.numeric import nan_to_null
-from citylake.schemas import bronze_schema, conform, to_storage_types
-from citylake.session import shared_dir
-from citylake.sources.readers import normalise_ingest_ts, read_landed, read_or_empty, recent_hours
+from citylake.schemas import conform, landed_schema, to_storage_types
+from citylake.session import partition_values, remove_dir, shared_dir
+from citylake.sources.readers import read_landed, read_or_empty, touched_dates
 from citylake.sources.sinks import overwrite_days, overwrite_table, write_csv
 
 
-def read_sources(spark: SparkSession, bronze_root: str, names: list[str], as_of: datetime, hours: int = 24) -> dict[str, DataFrame]:
-    """Recent rows of each landed source, pruned to the days that matter.
+def read_sources(
+    spark: SparkSession, bronze_root: str, names: list[str], as_of: datetime, hours: int = 24, extra: str = ""
+) -> dict[str, DataFrame]:
+    """Rows of each landed source that the days touched by the last hours need.
 
-    City events are few and dated ahead of their ingest day, so they are read whole.
+    A local day can begin up to a day before or after the UTC day, so one day more is
+    read at either end. City events are pruned on the day of the event, not of the
+    ingest. `extra` declares undeclared columns, as DDL.
     """
+    first, last = touched_dates(as_of, hours)
+    near = (first - timedelta(days=1), last + timedelta(days=1))
     out = {}
     for name in names:
-        landed = read_landed(spark, f"{bronze_root}/{name}", bronze_schema(name))
-        recent = landed if name == "eventos" else recent_hours(landed, as_of, hours)
-        out[name] = normalise_ingest_ts(nan_to_null(recent))
+        landed = read_landed(spark, f"{bronze_root}/{name}", landed_schema(name, extra))
+        day = "event_date" if name == "eventos" else "ingest_date"
+        out[name] = nan_to_null(landed.filter(F.col(day).between(*near)))
     return out
 
 
@@ -60,20 +65,31 @@ def export_kpis(gold: DataFrame, path: str, model_results: DataFrame | None = No
         write_csv(table, f"{path}/{name}")
 
 
-def build_gold(sources: dict[str, DataFrame], gold_root: str, busiest: float | None = None, storage: bool = True) -> DataFrame:
+def build_gold(
+    sources: dict[str, DataFrame], gold_root: str, busiest: float | None = None, storage: bool = True, tz: str = "UTC"
+) -> DataFrame:
     """Full rebuild of the three gold tables from cleaned sources.
 
-    The joined base is written once. The camera maximum, the features and both
-    advice tables then start from it, so no source is scanned twice.
+    The joined base is written once and removed at the end. The camera maximum, the
+    features and both advice tables then start from it, so no source is scanned twice.
+    Days and hours are those of `tz`.
     """
-    base = materialise(join_sources(sources), "gold-base")
+    spark = next(iter(sources.values())).sparkSession
+    stage = shared_dir(spark, "gold-base")
+    join_sources(sources, tz).write.parquet(stage)
+    base = spark.read.parquet(stage)
     labelled = flags_as_int(add_label(lag_features(add_features(base, busiest))))
     target = f"{gold_root}/congestion_por_zona"
     overwrite_days(to_storage_types(labelled) if storage else labelled, target, "fecha", ["zona", "hora"])
-    gold = base.sparkSession.read.parquet(target)
+    remove_dir(spark, stage)
+    gold = spark.read.parquet(target)
+    write_advice(gold, gold_root)
+    return gold
+
+
+def write_advice(gold: DataFrame, gold_root: str) -> None:
     overwrite_days(route_advice(gold), f"{gold_root}/recomendaciones_ruta", "fecha", ["zona", "hora"])
     overwrite_days(signal_timing(gold), f"{gold_root}/semaforos_simulados", "fecha", ["zona", "hora"])
-    return gold
 
 
 def refresh_gold(
@@ -88,29 +104,39 @@ def refresh_gold(
     dry_run: bool = False,
     order: dict[str, list[str]] | None = None,
     storage: bool = True,
+    tz: str = "UTC",
+    extra: str = "",
+    kpis: str | None = None,
 ) -> DataFrame:
-    """Recompute the days touched by the last hours and merge them into gold.
+    """Recompute the days touched by the last hours and put them into gold.
+
+    Silver, gold, an optional relabelling, the replacement of whole days, advice and,
+    where a `kpis` folder is named, the KPI export run as one job. Days and hours are
+    those of `tz`.
 
     `busiest` is the fixed camera reference, so that a refresh and a full rebuild
     give the same index. `relabel` may replace the rule label by a model's.
     A dry run returns the fresh rows and writes nothing. `storage` narrows floats
     to 32 bits on writing.
     """
-    cleaned = silver(read_sources(spark, bronze_root, sources, as_of, hours), order)
-    featured = flags_as_int(add_features(join_sources(cleaned), busiest))
+    cleaned = silver(read_sources(spark, bronze_root, sources, as_of, hours, extra), order)
+    first, last = touched_dates(as_of, hours)
+    complete = join_sources(cleaned, tz).filter(F.col("fecha").between(first, last))
+    featured = flags_as_int(add_features(complete, busiest))
     target = f"{gold_root}/congestion_por_zona"
-    first = F.to_date(F.lit(as_of) - F.expr(f"INTERVAL {hours} HOURS"))
     stored = conform(read_or_empty(spark, target, featured.schema), featured.schema)
-    fresh = add_label(lag_features_incremental(featured, stored, first))
+    days = [d for v in partition_values(spark, target, "fecha") if (d := date.fromisoformat(v)) < first]
+    fresh = add_label(lag_features_incremental(featured, stored, days))
     if relabel is not None:
         fresh = relabel(fresh)
     if dry_run:
         return fresh
-    upsert_days(to_storage_types(fresh) if storage else fresh, target)
-    gold = spark.read.parquet(target).filter(F.col("fecha") >= first)
-    overwrite_days(route_advice(gold), f"{gold_root}/recomendaciones_ruta", "fecha", ["zona", "hora"])
-    overwrite_days(signal_timing(gold), f"{gold_root}/semaforos_simulados", "fecha", ["zona", "hora"])
-    return spark.read.parquet(target)
+    replace_days(to_storage_types(fresh) if storage else fresh, target)
+    gold = spark.read.parquet(target)
+    write_advice(gold.filter(F.col("fecha").between(first, last)), gold_root)
+    if kpis is not None:
+        export_kpis(gold, kpis)
+    return gold
 
 
 # ---- fixed values: profile metrics and fallbacks ------------------------------
@@ -127,8 +153,12 @@ PROFILE_DEFAULTS = {
 
 
 def learn_profiles(gold: DataFrame, events: DataFrame, news: DataFrame, as_of, zones: int, days: int = 7) -> dict[str, DataFrame]:
-    """All learned pattern tables of one recency window."""
-    recent = recent_or_wider(gold, as_of, days)
+    """All learned pattern tables of the last `days` days before `as_of`.
+
+    The window is what the caller asks for, however many rows it holds;
+    `recent_or_wider` is there for callers that want a wider one on thin data.
+    """
+    recent = gold.filter(F.col("fecha") >= F.date_sub(as_of, days))
     metrics = [m for m in PROFILE_METRICS if m in gold.columns]
     columns = [f"{p}_{m}" for p in ("mean", "std") for m in metrics]
     return {

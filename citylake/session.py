@@ -32,6 +32,22 @@ def build_session(app: str = "citylake", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the first partition column, from folder names alone: no file is opened."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(at) if s.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the folder that every executor can reach.
 

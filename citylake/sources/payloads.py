@@ -88,7 +88,8 @@ def holidays(df: DataFrame, payload: str, *keep: str) -> DataFrame:
 
 
 def feed_items(df: DataFrame, text: str, source: str, *keep: str) -> DataFrame:
-    """News items of a feed document, scored.
+    """News items of a feed document, scored over their whole text; the description is
+    shortened only for storage.
 
     Fields are aligned by position; the channel's own title comes first and is
     skipped, and the channel carries no date, so dates sit one place earlier.
@@ -110,18 +111,18 @@ def feed_items(df: DataFrame, text: str, source: str, *keep: str) -> DataFrame:
         "fuente",
         "pos",
         strip_tags(F.col("x.t")).alias("_title"),
-        F.substring(strip_tags(F.coalesce(F.col("x.d"), F.lit(""))), 1, 300).alias("descripcion"),
+        strip_tags(F.coalesce(F.col("x.d"), F.lit(""))).alias("_description"),
         F.coalesce(F.col("x.l"), F.lit("")).alias("url"),
         F.substring(F.coalesce(F.col("x.f"), F.lit("")), 1, 50).alias("fecha_publicacion"),
     ).filter(F.col("_title") != "")
-    scored = add_scores(items.withColumn("_text", F.concat_ws(" ", "_title", "descripcion")), "_text")
+    scored = add_scores(items.withColumn("_text", F.concat_ws(" ", "_title", "_description")), "_text")
     return scored.select(
         *keep,
         "fuente",
         "pos",
         item_id(F.col("url"), F.col("_title")).alias("item_id"),
         F.substring("_title", 1, 200).alias("titulo"),
-        "descripcion",
+        F.substring("_description", 1, 300).alias("descripcion"),
         "url",
         "fecha_publicacion",
         "relevance_score",

@@ -27,12 +27,14 @@ def read_bronze(spark: SparkSession, paths: list[str], schema: T.StructType) ->
     """Everything landed for one source, whatever folder layout it was written in.
 
     `recursiveFileLookup` keeps folder names out of the data: a `fecha=` folder
-    would otherwise overwrite the event date stored in the file.
+    would otherwise overwrite the event date stored in the file. Each path is one
+    layout: its types come from one of its files, so no footer but that is read for
+    them. A path whose files disagree is given folder by folder.
     """
     out = None
     for path in paths:
         try:
-            part = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path)
+            part = spark.read.option("recursiveFileLookup", "true").parquet(path)
         except AnalysisException as error:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 continue
@@ -49,10 +51,16 @@ def normalise_ingest_ts(df: DataFrame, column: str = "_ingest_ts") -> DataFrame:
 
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The layout this library writes, partitioned by `ingest_date` and `ingest_hour`."""
-    return read_or_empty(
-        spark, path, T.StructType([*schema.fields]).add("ingest_date", T.DateType()).add("ingest_hour", T.IntegerType())
-    )
+    """The layout this library writes, read with its declared types (`landed_schema`).
+
+    Nothing is inferred: a column that some files lack is NULL there and never lost.
+    """
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def touched_dates(as_of: datetime, hours: int) -> tuple[date, date]:

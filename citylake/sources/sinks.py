@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.dims import SOURCE_QUALITY
-from citylake.functions.numeric import lookup
-from citylake.sources.readers import read_or_empty
+from citylake.functions.numeric import lenient_timestamp, lookup
+from citylake.schemas import BRONZE, as_declared
+from citylake.session import partition_values
 
 
 def with_lineage(df: DataFrame, source: str, ingest_ts: Column | None = None) -> DataFrame:
@@ -35,9 +36,14 @@ def append_bronze(
     """Land a batch under its ingest date and hour; an empty batch adds no file.
 
     Backfills of many days pass `by=("ingest_date",)`: one folder per day holds
-    fewer, larger files, and all scans prune on the date.
+    fewer, larger files, and all scans prune on the date. City events are dated
+    ahead of their ingest day and land under the day of the event instead. Columns
+    of a known source are written in their declared types, so batches can't drift.
     """
-    landed = with_ingest_partitions(with_lineage(df, source, ingest_ts))
+    stamped = with_lineage(df, source, ingest_ts).withColumn("_ingest_ts", lenient_timestamp("_ingest_ts"))
+    landed = with_ingest_partitions(as_declared(stamped, source) if source in BRONZE else stamped)
+    if source == "eventos" and "fecha" in landed.columns:
+        landed, by = landed.withColumn("event_date", F.to_date("fecha")).drop("ingest_hour"), ("event_date",)
     landed.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
 
 
@@ -73,7 +79,12 @@ def missing_days(df: DataFrame, written: DataFrame, day: str = "ingest_date") ->
     return df.join(written.select(day).distinct(), day, "left_anti")
 
 
+def written_days(spark: SparkSession, path: str, day: str) -> DataFrame:
+    """Days a table holds, from its folder names."""
+    names = [(v,) for v in partition_values(spark, path, day)]
+    return spark.createDataFrame(names, f"{day} string").select(F.to_date(day).alias(day))
+
+
 def backfill_days(df: DataFrame, path: str, day: str = "ingest_date") -> None:
     """Write the days not yet present; running it again adds nothing."""
-    written = read_or_empty(df.sparkSession, path, df.schema)
-    overwrite_days(missing_days(df, written, day), path, day)
+    overwrite_days(missing_days(df, written_days(df.sparkSession, path, day), day), path, day)

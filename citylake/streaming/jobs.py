@@ -7,7 +7,9 @@ fires on an interval.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,41 +126,78 @@ def refresh_days(
     checkpoint: str,
     rebuild: Callable[[DataFrame], DataFrame],
     once: bool = False,
+    margin: int = 1,
 ) -> StreamingQuery:
     """Recompute every day that new rows touch and replace those days only.
 
-    A batch holds new rows alone, so the touched days are read back from bronze
-    in full (partition-pruned) before they are rebuilt; replaying a batch gives
-    the same days again.
+    A batch holds new rows alone. The days (`fecha`) it contributes to are found by
+    rebuilding it, then everything landed that can belong to them is read back
+    (partition-pruned), rebuilt, and only these days, now complete, are replaced;
+    replaying a batch gives the same days again. A row's day may lie up to `margin`
+    days from its ingest date, which covers any time zone; sources dated further from
+    their ingest day pass more.
     """
 
     def run(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        # One value per day of the batch; bounded by the lateness, not by rows.
-        days = [r.ingest_date for r in batch.select("ingest_date").distinct().collect()]
-        if days:
-            touched = spark.read.parquet(bronze_path).filter(F.col("ingest_date").isin(days))
-            overwrite_days(rebuild(touched), target, "fecha")
+        touched = rebuild(batch).select("fecha").distinct()
+        first, last = batch.agg(F.min("ingest_date"), F.max("ingest_date")).first()
+        if first is None:
+            return
+        # A day's rows lie within the margin of it, and it within the margin of the batch.
+        reach = F.sequence(F.date_sub("ingest_date", 2 * margin), F.date_add("ingest_date", 2 * margin))
+        days = batch.select("ingest_date").distinct().select(F.explode(reach).alias("ingest_date")).distinct()
+        wide = timedelta(days=2 * margin)
+        landed = spark.read.parquet(bronze_path).filter(F.col("ingest_date").between(first - wide, last + wide))
+        rebuilt = rebuild(landed.join(days, "ingest_date", "left_semi")).join(touched, "fecha", "left_semi")
+        overwrite_days(rebuilt, target, "fecha")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     return triggered(writer, once, REFRESH_EVERY).start()
 
 
-def run_all(starters: dict[str, Callable[[], StreamingQuery]]) -> dict[str, str | None]:
-    """Start one query per source, wait for them, and report failures by source."""
-    started: dict[str, StreamingQuery] = {}
+def run_all(
+    starters: dict[str, Callable[[], StreamingQuery]],
+    retries: int = 0,
+    poll: float = 0.5,
+    stop: Callable[[], bool] = lambda: False,
+) -> dict[str, str | None]:
+    """Run one query per source until all have ended, and report failures by source.
+
+    All queries are watched at once, so a failure is seen while others go on; a failed
+    source starts again from its checkpoint, `retries` times at most. `stop` ends
+    queries that fire on an interval.
+    """
+    running: dict[str, StreamingQuery] = {}
     outcome: dict[str, str | None] = {}
-    for name, start in starters.items():
-        try:
-            started[name] = start()
-        except Exception as error:  # a source that cannot start must not stop the rest
-            outcome[name] = str(error)
-    for name, running in started.items():
+    failures = dict.fromkeys(starters, 0)
+
+    def begin(name: str) -> None:
         try:
-            running.awaitTermination()
+            running[name] = starters[name]()
             outcome[name] = None
-        except Exception as error:  # likewise for one that fails while running
-            outcome[name] = str(error)
+        except Exception as error:  # a source that cannot start must not stop the rest
+            failed(name, str(error))
+
+    def failed(name: str, error: str) -> None:
+        outcome[name] = error
+        failures[name] += 1
+        if failures[name] <= retries:
+            begin(name)
+
+    for name in starters:
+        begin(name)
+    while running:
+        if stop():
+            for query in running.values():
+                query.stop()
+        for name, query in list(running.items()):
+            if not query.isActive:
+                del running[name]
+                if query.exception() is not None:
+                    failed(name, str(query.exception()))
+        if running:
+            time.sleep(poll)
     return outcome
 
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -18,6 +19,7 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="6g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="citylake-tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citylake.functions.numeric import np_round
-from citylake.operators.upsert import upsert_days
+from citylake.operators.upsert import replace_days, upsert_days
 from citylake.schemas import bronze_schema
 from citylake.session import shared_dir
 from citylake.sources import readers as rd
@@ -143,6 +143,74 @@ def test_one_failing_source_does_not_stop_the_others(spark):
     assert values(spark.read.parquet(out), "zona", "ingest_hour") == [("a", 10)]
 
 
+def test_interval_streams_show_and_retry_a_late_failure(spark):
+    """The first source never ends; the second fails twice and is started again each time."""
+    landed = shared_dir(spark, "t-in")
+    readings(spark, [("a", stamp(28, 10), 1.0)]).write.parquet(landed)
+    good = st.landed_stream(spark, landed, "zona string, _ingest_ts timestamp, v double")
+    broken = good.withColumn("v", F.raise_error(F.lit("feed is down")).cast("double"))
+    begun = []
+
+    def failing():
+        begun.append(st.ingest(broken, "gps_rutas", shared_dir(spark, "t-bad"), shared_dir(spark, "t-c3"), F.col("_ingest_ts")))
+        return begun[-1]
+
+    outcome = st.run_all(
+        {"clima": lambda: st.ingest(good, "clima", shared_dir(spark, "t-out"), shared_dir(spark, "t-c4"), F.col("_ingest_ts")), "gps_rutas": failing},
+        retries=1,
+        stop=lambda: len(begun) == 2 and not begun[1].isActive,
+    )
+    assert outcome["clima"] is None and "feed is down" in outcome["gps_rutas"] and len(begun) == 2
+
+
+def test_days_of_another_time_zone_are_replaced_whole(spark):
+    """24 readings of one local day over two UTC days, in two batches."""
+    landed, target, check = (shared_dir(spark, n) for n in ("t-in", "t-gold", "t-check"))
+    schema = "zona string, _ingest_ts timestamp, v double, ingest_date date"
+
+    def rebuild(df):
+        from citylake.functions.timegrain import add_time_grain
+
+        return add_time_grain(df, "_ingest_ts", "America/Lima").groupBy("zona", "fecha", "hora").agg(F.count("*").alias("n"))
+
+    for hours in ([(27, h) for h in range(5, 24)], [(28, h) for h in range(5)]):
+        part = readings(spark, [("a", stamp(d, h), 1.0) for d, h in hours])
+        part.withColumn("ingest_date", F.to_date("_ingest_ts")).write.mode("append").partitionBy("ingest_date").parquet(landed)
+        stream = st.landed_stream(spark, landed, schema)
+        st.refresh_days(stream, landed, target, check, rebuild, once=True).awaitTermination()
+    assert values(spark.read.parquet(target), "hora") == [(h,) for h in range(24)]
+
+
+def test_refresh_days_of_a_source_dated_ahead(spark):
+    """Events landed on different days for the same event day stay together."""
+    landed, target, check = (shared_dir(spark, n) for n in ("t-in", "t-gold", "t-check"))
+    for landed_on in (1, 9):
+        rows = spark.createDataFrame([(DAY, f"e{landed_on}", DAY - datetime.timedelta(days=landed_on))], "fecha date, nombre string, ingest_date date")
+        rows.write.mode("append").partitionBy("ingest_date").parquet(landed)
+        stream = st.landed_stream(spark, landed, "fecha date, nombre string, ingest_date date")
+        rebuild = lambda df: df.select("nombre", "fecha")
+        st.refresh_days(stream, landed, target, check, rebuild, once=True, margin=10).awaitTermination()
+    assert values(spark.read.parquet(target), "nombre") == [("e1",), ("e9",)]
+
+
+def test_working_copies_are_removed(spark, tmp_path, monkeypatch):
+    from citylake.operators import upsert
+
+    monkeypatch.setattr(upsert, "shared_dir", lambda _, purpose: str(tmp_path / "shared" / purpose))
+    fresh = spark.createDataFrame([("a", DAY, 1, 1.0)], "zona string, fecha date, hora int, v double")
+    upsert_days(fresh, str(tmp_path / "gold"))
+    replace_days(fresh, str(tmp_path / "gold"))
+    assert list((tmp_path / "shared").iterdir()) == []
+
+
+def test_replaced_days_keep_nothing_of_the_old_ones(spark):
+    path = shared_dir(spark, "t-gold")
+    rows = lambda data: spark.createDataFrame(data, "zona string, fecha date, hora int, v double")
+    replace_days(rows([("a", DAY, 1, 1.0), ("a", DAY, 2, 1.0)]), path)
+    replace_days(rows([("a", DAY, 1, 2.0)]), path)
+    assert values(spark.read.parquet(path), "hora", "v") == [(1, 2.0)]
+
+
 def test_watermark_needs_a_real_timestamp(spark):
     assert "timestamp" in dict(st.with_event_time(spark.readStream.format("rate").load().select(F.col("timestamp").cast("timestamp_ntz").alias("_ingest_ts"))).dtypes)["_ingest_ts"]
 

@@ -162,7 +162,21 @@ def test_incremental_lags_equal_full_lags(spark):
     fresh, past = full.filter(F.col("fecha") >= since), full.filter(F.col("fecha") < since)
     columns = ["zona", "fecha", "hora", "congestion_factor_lag1h", "indice_congestion_lag1h", "tendencia_congestion"]
     want = se.lag_features(full).filter(F.col("fecha") >= since)
-    assert rows(se.lag_features_incremental(fresh, past, since), *columns) == rows(want, *columns)
+    stored = [DAY + datetime.timedelta(days=d) for d in range(2)]
+    assert rows(se.lag_features_incremental(fresh, past, stored), *columns) == rows(want, *columns)
+
+
+def test_carried_rows_reach_back_only_for_zones_not_found(spark):
+    day = lambda d: DAY + datetime.timedelta(days=d)
+    data = [("a", day(d), 5, 1.0 + d) for d in range(20)] + [("b", day(3), 7, 9.0)]
+    past = spark.createDataFrame(data, "zona string, fecha date, hora int, congestion_factor double")
+    stored = [day(d) for d in range(20)]
+    a, b = (spark.createDataFrame([(z,)], "zona string") for z in "ab")
+    near = se.last_rows(past, a, stored)
+    assert rows(near, "zona", "fecha") == [("a", day(19))]
+    assert str(day(19)) in near._jdf.queryExecution().optimizedPlan().toString()  # one day only
+    assert rows(se.last_rows(past, b, stored), "zona", "fecha") == [("a", day(19)), ("b", day(3))]
+    assert rows(se.last_rows(past, b, []), "zona") == []
 
 
 def gold_rows(spark, data):
@@ -397,3 +411,20 @@ def test_quality_report_of_empty_source(spark):
     empty = spark.createDataFrame([], "k double, _calidad_fuente string")
     got = ql.quality_report({"s": (empty, empty, "k")}).head()
     assert (got.registros_bronze, got.pct_retenidos, got.calidad_fuente) == (0, 0.0, "?")
+
+
+def test_feed_text_is_scored_beyond_the_stored_length(spark):
+    from citylake.sources.payloads import feed_items
+
+    item = "<title><![CDATA[ canal ]]></title><title><![CDATA[ nota ]]></title><description>x</description><description>{}</description>"
+    feeds = spark.createDataFrame([("a", item.format("aquí " * 100 + "accidente")), ("b", item.format("aquí " * 100))], "k string, feed string")
+    got = {r.k: r for r in feed_items(feeds.withColumn("o", F.lit("web")), "feed", "o", "k").collect()}
+    assert got["a"].es_trafico and not got["b"].es_trafico and len(got["a"].descripcion) == 300
+
+
+def test_learned_rates_are_bounded_only_where_asked(spark):
+    events = spark.createDataFrame([(DAY, "obras")] * 12, "fecha date, tipo string")
+    assert {r.prob_evento for r in pf.event_rate(events, 6).collect()} == {2.0}
+    assert {r.prob_evento for r in pf.event_rate(events, 6, cap=0.3).collect()} == {0.3}
+    news = spark.createDataFrame([(1, "neutro", True)] * 25, "_ingest_ts int, sentiment string, es_trafico boolean")
+    assert [pf.news_rate(news).head().n_por_lote, pf.news_rate(news, low=2.0, high=10.0).head().n_por_lote] == [25.0, 10.0]
