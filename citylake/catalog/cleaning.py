@@ -283,10 +283,21 @@ def _(spark, sf):
     return missing_days(r, written, "fecha").select("event_id", "fecha")
 
 
-@query("row_sample")
+@query("row_sample", "SELECT TRUE AS son_filas, TRUE AS sin_repetir, TRUE AS proporcion")
 def _(spark, sf):
-    """Bernoulli sample, the feature itself."""
-    return table(spark, sf, "lineitem").sample(False, 0.05, 700)
+    """Bernoulli sample: its rows are rows of the table, none twice, about 5 % of them."""
+    lines = table(spark, sf, "lineitem")
+    sampled = lines.sample(False, 0.05, 700)
+    key = ["l_orderkey", "l_linenumber"]
+    whole = lines.groupBy(*key).agg(F.count(F.lit(1)).alias("n_all"), F.bit_xor(F.xxhash64(*lines.columns)).alias("h_all"))
+    part = sampled.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*lines.columns)).alias("h"))
+    both = whole.join(part, key, "left")
+    share = F.sum(F.coalesce("n", F.lit(0))) / F.sum("n_all")
+    return both.agg(
+        F.bool_and(F.col("n").isNull() | (F.col("n") < F.col("n_all")) | (F.col("h") == F.col("h_all"))).alias("son_filas"),
+        F.bool_and(F.coalesce(F.col("n") <= F.col("n_all"), F.lit(True))).alias("sin_repetir"),
+        share.between(0.04, 0.06).alias("proporcion"),
+    )
 
 
 @query(

@@ -12,6 +12,7 @@ from citylake.functions import timegrain as tg
 from citylake.functions import traffic as tf
 from citylake.functions.numeric import (
     clip,
+    date_or_constant,
     lenient_date,
     lenient_int,
     lenient_timestamp,
@@ -298,6 +299,20 @@ def _(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", lenient_date(raw).alias("fecha"))
 
 
+@query(
+    "date_or_constant",
+    "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS fecha, DATE '2026-06-28' AS fecha_fija FROM orders",
+)
+def _(spark, sf):
+    """A date column, and the constant that stands in for one the table lacks."""
+    o_ = table(spark, sf, "orders")
+    return o_.select(
+        "o_orderkey",
+        date_or_constant(o_, "o_orderdate", "2026-06-28").alias("fecha"),
+        date_or_constant(o_, "fecha", "2026-06-28").alias("fecha_fija"),
+    )
+
+
 @query("ts_normalise", "SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS ingest FROM events")
 def _(spark, sf):
     """Batch stamps arrive with and without offset and fraction."""

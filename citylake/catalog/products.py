@@ -12,6 +12,7 @@ from citylake.operators.advise import route_advice, signal_timing
 from citylake.operators.quality import null_report
 from citylake.operators.rollup import strongest_events
 from citylake.plans.gold import SCHEMA_GROUPS, congestion_by_zone
+from citylake.plans.jobs import materialise
 from citylake.plans.silver import silver, silver_report
 
 
@@ -24,6 +25,11 @@ def gold(spark, sf):
     return congestion_by_zone(cleaned(spark, sf))
 
 
+def stored(kpis):
+    """A KPI table written once: the measures read it, not the plan behind it."""
+    return materialise(kpis, "kpi")
+
+
 @query("gold_wide", o.ctes(o.GOLD) + "SELECT * FROM gold")
 def _(spark, sf):
     return gold(spark, sf)
@@ -169,7 +175,7 @@ def _(spark, sf):
     + "SELECT *, CASE semaforo WHEN 'FLUIDO' THEN '#2ECC71' WHEN 'MODERADO' THEN '#F1C40F' ELSE '#E74C3C' END AS color, '● ' || semaforo AS icono FROM h2",
 )
 def _(spark, sf):
-    return measures.headline(kpi.global_kpis(gold(spark, sf)))
+    return measures.headline(stored(kpi.global_kpis(gold(spark, sf))))
 
 
 @query(
@@ -197,7 +203,7 @@ def _(spark, sf):
     + "SELECT *, coalesce((velocidad_actual - velocidad_hora_anterior) / nullif(velocidad_hora_anterior, 0), 0.0::DOUBLE) AS variacion_velocidad FROM x",
 )
 def _(spark, sf):
-    return measures.speed_change(kpi.hour_kpis(gold(spark, sf)))
+    return measures.speed_change(stored(kpi.hour_kpis(gold(spark, sf))))
 
 
 @query(
@@ -206,7 +212,7 @@ def _(spark, sf):
     + "SELECT max(hora_label) AS hora_pico FROM kpi_hour WHERE congestion_ratio = (SELECT max(congestion_ratio) FROM kpi_hour)",
 )
 def _(spark, sf):
-    return measures.peak_hour(kpi.hour_kpis(gold(spark, sf)))
+    return measures.peak_hour(stored(kpi.hour_kpis(gold(spark, sf))))
 
 
 @query(
@@ -215,7 +221,7 @@ def _(spark, sf):
     + "SELECT max(congestion_ratio) FILTER (WHERE es_hora_punta = 1) AS congestion_hora_pico, max(velocidad_kmh) FILTER (WHERE es_hora_punta = 0) AS velocidad_hora_valle FROM kpi_hour",
 )
 def _(spark, sf):
-    return measures.peak_and_valley(kpi.hour_kpis(gold(spark, sf)))
+    return measures.peak_and_valley(stored(kpi.hour_kpis(gold(spark, sf))))
 
 
 @query(
@@ -224,7 +230,7 @@ def _(spark, sf):
     + "SELECT CASE WHEN count(*) = 1 THEN max(zona) END AS zona_mas_congestionada FROM t",
 )
 def _(spark, sf):
-    return measures.most_congested(kpi.zone_kpis(gold(spark, sf)))
+    return measures.most_congested(stored(kpi.zone_kpis(gold(spark, sf))))
 
 
 @query(
@@ -233,7 +239,7 @@ def _(spark, sf):
     + "SELECT string_agg(zona, ', ' ORDER BY congestion_ratio DESC, zona) AS top_zonas FROM t WHERE rk <= 3",
 )
 def _(spark, sf):
-    return measures.top_zones(kpi.zone_kpis(gold(spark, sf)))
+    return measures.top_zones(stored(kpi.zone_kpis(gold(spark, sf))))
 
 
 @query(
@@ -242,7 +248,7 @@ def _(spark, sf):
     + "SELECT zona, nivel_dominante, CASE nivel_dominante WHEN 'alto' THEN '#E74C3C' WHEN 'medio' THEN '#F1C40F' ELSE '#2ECC71' END AS color_zona FROM kpi_zone",
 )
 def _(spark, sf):
-    return measures.zone_colors(kpi.zone_kpis(gold(spark, sf)))
+    return measures.zone_colors(stored(kpi.zone_kpis(gold(spark, sf))))
 
 
 @query(
@@ -251,7 +257,7 @@ def _(spark, sf):
     + "SELECT max(tipo_vehiculo) AS vehiculo_dominante FROM kpi_composition WHERE porcentaje = (SELECT max(porcentaje) FROM kpi_composition)",
 )
 def _(spark, sf):
-    return measures.dominant_vehicle(kpi.composition_kpis(gold(spark, sf)))
+    return measures.dominant_vehicle(stored(kpi.composition_kpis(gold(spark, sf))))
 
 
 @query(

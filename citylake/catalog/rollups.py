@@ -326,26 +326,29 @@ def _(spark, sf):
     return table_.withColumns({f"std_{m}": np_round(f"std_{m}", 6) for m in _PROFILE})
 
 
-_FLOORS = {"congestion_ratio": 0.01, "intensidad_veh_hora": 1.0}
-
-
-@query(
-    "profile_source",
-    o.ctes(o.SILVER)
-    + "SELECT zona, hora, count(*) AS n, "
-    + ", ".join(
-        f"coalesce({o.exact(m, 6)}, 0.0::DOUBLE) AS mean_{m}, round_even(greatest(coalesce(stddev_samp({m}), 0.01::DOUBLE), {f}::DOUBLE), 6) AS std_{m}"
-        for m, f in _FLOORS.items()
-    )
-    + " FROM s_sen GROUP BY zona, hora HAVING count(*) >= 1",
-)
-def _(spark, sf):
-    """Per-source profile with a floor of its own for each metric's deviation."""
-    sensors = add_time_grain(cleaned(spark, sf, "sensores_trafico")["sensores_trafico"]).withColumn(
-        "intensidad_veh_hora", F.col("intensidad_veh_hora").cast("double")
-    )
-    table_ = pf.zone_hour_profile(sensors, list(_FLOORS), _FLOORS, digits=6, at_least=1)
-    return table_.withColumns({f"std_{m}": np_round(f"std_{m}", 6) for m in _FLOORS})
+def _source_profile(name: str, source: str, silver_name: str):
+    """Profile of one source over all zones and hours, with its own defaults and floors."""
+    metrics = pf.SOURCE_PROFILES[source]
+    columns = []
+    for m, (mean, deviation, floor) in metrics.items():
+        columns.append(f"coalesce({o.exact(m, 6)}, {mean}::DOUBLE) AS mean_{m}")
+        if deviation is not None:
+            columns.append(f"round_even(greatest(coalesce(stddev_samp({m}), {deviation}::DOUBLE), {floor}::DOUBLE), 6) AS std_{m}")
+    grid = f"z AS (SELECT zona, CAST(unnest(range(24)) AS INTEGER) AS hora FROM (SELECT unnest({o.sql_list(ZONE_NAMES)}) AS zona))"
+    sql = o.ctes(o.SILVER, grid) + f"SELECT zona, hora, count(event_id) AS n, {', '.join(columns)} FROM z LEFT JOIN {silver_name} USING (zona, hora) GROUP BY zona, hora"
+
+    @query(name, sql)
+    def _(spark, sf):
+        rows = add_time_grain(cleaned(spark, sf, source)[source])
+        rows = rows.withColumns({m: F.col(m).cast("double") for m in metrics})
+        found = pf.source_profile(rows, metrics, zone_frame(spark))
+        return found.withColumns({c: np_round(c, 6) for c in found.columns if c.startswith("std_")})
+
+
+_source_profile("profile_source", "sensores_trafico", "s_sen")
+_source_profile("profile_gps", "gps_rutas", "s_gps")
+_source_profile("profile_cameras", "vision_camaras", "s_cam")
+_source_profile("profile_weather", "clima", "s_cli")
 
 
 @query(

@@ -39,6 +39,11 @@ def lenient_date(c: Column | str) -> Column:
     return _col(c).try_cast("date")
 
 
+def date_or_constant(df: DataFrame, column: str, constant: str) -> Column:
+    """The column as a date, or one date for all rows where the table lacks the column."""
+    return lenient_date(column) if column in df.columns else F.lit(constant).cast("date")
+
+
 def lenient_timestamp(c: Column | str) -> Column:
     """Mixed ISO forms to a UTC timestamp cut to the second."""
     return F.date_trunc("second", F.try_to_timestamp(_col(c)))

@@ -23,10 +23,9 @@ def rain_flag(mm: Column, above: float) -> Column:
 
 def composite_index(factor: Column, ratio: Column, vehicles: Column, busiest: Column) -> Column:
     """GPS 60 %, sensors 30 %, cameras 10 %; each part is 1.0 when unknown."""
-    camera = F.when(
-        busiest > 0,
-        F.coalesce(vehicles, F.lit(0.0)) / busiest + 1.0,
-    ).otherwise(F.lit(1.0))
+    # `busiest` is named once: it may be a subquery over all cameras.
+    share = F.try_divide(F.coalesce(vehicles, F.lit(0.0)), F.greatest(busiest, F.lit(0.0)))
+    camera = F.coalesce(share + 1.0, F.lit(1.0))
     return np_round(
         F.coalesce(factor, F.lit(1.0)) * 0.60
         + (F.coalesce(ratio, F.lit(0.0)) + 1.0) * 0.30

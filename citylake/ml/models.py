@@ -81,6 +81,7 @@ def candidates(label: str, size: int, classes: int, hidden: list[int] = (64, 32)
     def ovr(build: Callable[[str], Estimator]) -> OneVsRest:
         return OneVsRest(build, label, classes)
 
+    # Names, depths, tree counts and iterations are fixed values of the compared candidates.
     return [
         Candidate("DecisionTree", NATIVE, DecisionTreeClassifier(**common, maxDepth=5, seed=SEED)),
         Candidate("RandomForest", NATIVE, RandomForestClassifier(**common, numTrees=100, seed=SEED)),

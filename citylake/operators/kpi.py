@@ -10,7 +10,6 @@ from citylake.functions.numeric import exact_mean, lookup, np_round, share_of
 from citylake.functions.timegrain import hour_label, is_peak
 from citylake.operators.profile import level_shares
 from citylake.operators.quality import with_defaults
-from citylake.operators.series import ratio_to_total
 
 LEVELS = ["alto", "medio", "bajo"]
 
@@ -23,6 +22,11 @@ def _row(kpi: str, value: Column, unit: str) -> Column:
     return F.struct(F.lit(kpi).alias("KPI"), value.alias("Valor"), F.lit(unit).alias("Unidad"))
 
 
+def newest(column: str) -> Column:
+    """Value of the latest hour. One number as order keeps the aggregation in a hash table."""
+    return F.max_by(column, F.unix_date(F.col("fecha").cast("date")) * 24 + F.col("hora").cast("int"))
+
+
 def global_kpis(gold: DataFrame) -> DataFrame:
     """Eight headline rows.
 
@@ -33,14 +37,14 @@ def global_kpis(gold: DataFrame) -> DataFrame:
     zoned = "zona" in gold.columns
     gold = with_defaults(gold, {c: v for c, v in {"zona": "N/D", "tiene_evento": 0}.items() if c not in gold.columns})
     scaled = [("velocidad_kmh", 3), ("congestion_ratio", 3)]
-    newest = F.max_by(F.struct("congestion_ratio", "velocidad_kmh"), F.struct("fecha", "hora"))
     per_zone = gold.groupBy("zona").agg(
         *[F.sum(F.rint(F.col(c) * 1000.0).cast("bigint")).alias(f"s_{c}") for c, _ in scaled],
         *[F.count(c).alias(f"n_{c}") for c, _ in scaled],
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(F.col("nivel_congestion") == v).alias(f"n_{v}") for v in LEVELS],
         F.sum(F.col("tiene_evento").cast("int")).alias("events"),
-        newest.alias("newest"),
+        newest("congestion_ratio").alias("newest_ratio"),
+        newest("velocidad_kmh").alias("newest_speed"),
     )
     total = per_zone.agg(
         *[
@@ -48,11 +52,12 @@ def global_kpis(gold: DataFrame) -> DataFrame:
             for c, _ in scaled
         ],
         *[(F.sum(f"n_{v}").cast("double") / F.sum("n").cast("double") * 100.0).alias(f"pct_{v}") for v in LEVELS],
-        F.min_by("zona", F.when(F.col("newest.congestion_ratio").isNotNull(), F.struct(-F.col("newest.congestion_ratio"), F.col("zona")))).alias("worst"),
-        F.min("newest.velocidad_kmh").alias("slowest"),
+        F.min_by("zona", F.when(F.col("newest_ratio").isNotNull(), F.struct(-F.col("newest_ratio"), F.col("zona")))).alias("worst"),
+        F.min("newest_speed").alias("slowest"),
         F.sum("events").alias("events"),
     )
     slowest = F.col("slowest") if zoned else F.col("velocidad_kmh")
+    # Labels and units here and in `zone_kpis_long` are fixed values: dashboards look them up.
     rows = F.array(
         _row("Velocidad promedio (km/h)", text(np_round("velocidad_kmh", 1)), "km/h"),
         _row("Congestión global (ratio)", text(np_round("congestion_ratio", 3)), "ratio 0-1"),
@@ -75,8 +80,9 @@ def dominant_level(shares: dict[str, str]) -> Column:
     return out
 
 
-def zone_kpis(gold: DataFrame) -> DataFrame:
+def zone_kpis(gold: DataFrame, latest_speed: bool = False) -> DataFrame:
     table = gold.groupBy("zona").agg(
+        *([newest("velocidad_kmh").alias("vel_ultima")] if latest_speed else []),
         np_round(exact_mean("velocidad_kmh", 3), 2).alias("velocidad_kmh"),
         np_round(exact_mean("congestion_ratio", 3), 2).alias("congestion_ratio"),
         np_round(exact_mean("intensidad_veh_hora", 3), 2).alias("intensidad_veh_hora"),
@@ -97,10 +103,7 @@ def zone_kpis(gold: DataFrame) -> DataFrame:
 
 def zone_kpis_long(gold: DataFrame) -> DataFrame:
     """Eight rows per zone, for cards filtered by a zone slicer."""
-    newest = gold.groupBy("zona").agg(
-        F.max_by("velocidad_kmh", F.struct("fecha", "hora")).alias("vel_ultima")
-    )
-    wide = zone_kpis(gold).join(newest, "zona")
+    wide = zone_kpis(gold, latest_speed=True)
     rows = F.array(
         _row("Velocidad promedio (km/h)", text(np_round("velocidad_kmh", 1)), "km/h"),
         _row("Congestión global (ratio)", text(np_round("congestion_ratio", 3)), "ratio"),
@@ -146,13 +149,3 @@ def composition_kpis(gold: DataFrame) -> DataFrame:
         np_round(F.try_divide(F.col("porcentaje"), F.col("_t")) * 100, 2).alias("porcentaje_norm"),
     )
 
-
-__all__ = [
-    "composition_kpis",
-    "dominant_level",
-    "global_kpis",
-    "hour_kpis",
-    "ratio_to_total",
-    "zone_kpis",
-    "zone_kpis_long",
-]

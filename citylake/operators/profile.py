@@ -44,6 +44,42 @@ def zone_hour_profile(
     )
 
 
+# ---- fixed values: per source, metric -> default mean, default and least deviation ----
+SOURCE_PROFILES: dict[str, dict[str, tuple[float, float | None, float | None]]] = {
+    "sensores_trafico": {"congestion_ratio": (0.50, 0.06, 0.01), "intensidad_veh_hora": (400.0, 50.0, 1.0)},
+    "gps_rutas": {"velocidad_kmh": (35.0, 5.0, 0.5), "congestion_factor": (2.0, 0.3, 0.05)},
+    "vision_camaras": {"total_detectado": (200.0, 30.0, 1.0)},
+    "clima": {
+        "temperatura_c": (20.0, 1.5, 0.2),
+        "humedad_pct": (75.0, 6.0, 0.5),
+        "precipitacion_mm": (0.1, None, None),
+        "viento_kmh": (12.0, 3.0, 0.3),
+    },
+}
+# Rates where a source has no rows at all.
+NO_EVENTS = 0.15
+NO_NEWS = {"n_por_lote": 5.0, "pct_trafico": 0.6, "sentiment": (0.2, 0.5, 0.3)}
+# ---- end of fixed values ------------------------------------------------------
+
+
+def source_profile(df: DataFrame, metrics: dict[str, tuple[float, float | None, float | None]], keys: DataFrame, digits: int = 6) -> DataFrame:
+    """Mean and deviation of a source's metrics for every zone of `keys` and every hour.
+
+    Rows without a weight complete the grid, so there is no join. Where a metric was
+    never seen its defaults stand; a deviation is never below its floor.
+    """
+    hours = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hora")
+    rows = df.select("zona", "hora", *metrics, F.lit(1).alias("_w"))
+    rows = rows.join(keys.select("zona"), "zona", "left_semi").unionByName(keys.select("zona", hours), allowMissingColumns=True)
+    out = [F.count("_w").alias("n")]
+    for name, (mean, deviation, floor) in metrics.items():
+        out.append(F.coalesce(exact_mean(name, digits), F.lit(mean)).alias(f"mean_{name}"))
+        if deviation is not None:
+            spread = F.coalesce(F.stddev_samp(name), F.lit(deviation))
+            out.append(F.greatest(spread, F.lit(floor)).alias(f"std_{name}"))
+    return rows.groupBy("zona", "hora").agg(*out)
+
+
 def weekday_factors(df: DataFrame, metric: str = "congestion_ratio", digits: int = 4) -> DataFrame:
     """Weekday mean over overall mean; a weekday without data gets 1.0.
 
@@ -98,7 +134,8 @@ def event_rate(events: DataFrame, zones: int, types: list[str] = EVENT_TYPES, ca
         F.countDistinct("fecha").alias("days"),
         *[F.count_if(F.col("tipo") == t).alias(f"n_{t}") for t in types],
     )
-    prob = clip(F.col("n") / F.greatest(F.col("days") * zones, F.lit(1)), None, cap)
+    seen = clip(F.col("n") / F.greatest(F.col("days") * zones, F.lit(1)), None, cap)
+    prob = F.when(F.col("n") == 0, F.lit(NO_EVENTS)).otherwise(seen)
     shares = [
         F.when(F.col(f"n_{t}") > 0, F.try_divide(F.col(f"n_{t}"), F.col("typed"))).otherwise(F.lit(even)) for t in types
     ]
@@ -120,11 +157,15 @@ def news_rate(news: DataFrame, batch: str = "_ingest_ts", low: float | None = No
         F.when(F.col(f"n_{s}") > 0, F.try_divide(F.col(f"n_{s}"), F.col("felt"))).otherwise(F.lit(1.0 / 3))
         for s in SENTIMENTS
     ]
-    total = sum(shares[1:], shares[0])
+    none, total = F.col("n") == 0, sum(shares[1:], shares[0])
+    rate = clip(F.col("n") / F.greatest(F.col("batches"), F.lit(1)), low, high)
     return counts.withColumn("_t", total).select(
-        clip(F.col("n") / F.greatest(F.col("batches"), F.lit(1)), low, high).alias("n_por_lote"),
-        F.try_divide(F.col("traffic"), F.col("n")).alias("pct_trafico"),
-        *[(s / F.col("_t")).alias(f"p_{name}") for s, name in zip(shares, SENTIMENTS)],
+        F.when(none, F.lit(NO_NEWS["n_por_lote"])).otherwise(rate).alias("n_por_lote"),
+        F.when(none, F.lit(NO_NEWS["pct_trafico"])).otherwise(F.try_divide(F.col("traffic"), F.col("n"))).alias("pct_trafico"),
+        *[
+            F.when(none, F.lit(p)).otherwise(s / F.col("_t")).alias(f"p_{name}")
+            for s, name, p in zip(shares, SENTIMENTS, NO_NEWS["sentiment"])
+        ],
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from citylake.dims import HOLIDAY_TYPES, SERVICE_LABELS, VEHICLE_SHARES, ZONE_NAMES
 from citylake.functions.numeric import lookup, np_round
+from citylake.operators.quality import first_row
 
 HOUR_KEY = ["zona", "fecha", "hora"]
 
@@ -108,22 +109,11 @@ def strongest_events(events: DataFrame, zones: list[str] = ZONE_NAMES, everywher
     City-wide events are reduced to one per day before they are copied to every
     zone: the strongest of all is the strongest of the strongest.
     """
-    best = F.min_by(F.struct("tipo", "severidad"), F.struct(-F.col("impacto_factor"), F.col("nombre")))
-    first_name = F.min(F.struct((-F.col("impacto_factor")).alias("neg"), F.col("nombre").alias("nombre")))
+    kept = ["zona_afectada", "fecha", "impacto_factor", "nombre", "tipo", "severidad"]
+    order = [F.desc("impacto_factor"), "nombre", "tipo", "severidad"]
 
     def winners(df: DataFrame) -> DataFrame:
-        return (
-            df.groupBy("zona_afectada", "fecha")
-            .agg(best.alias("w"), first_name.alias("o"))
-            .select(
-                "zona_afectada",
-                "fecha",
-                (-F.col("o.neg")).alias("impacto_factor"),
-                F.col("o.nombre").alias("nombre"),
-                F.col("w.tipo").alias("tipo"),
-                F.col("w.severidad").alias("severidad"),
-            )
-        )
+        return first_row(df.select(*kept), ["zona_afectada", "fecha"], order)
 
     return winners(to_every_zone(winners(events), zones, everywhere)).select(
         F.col("zona_afectada").alias("zona"),
