@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citylake.catalog import oracle as o
+from citylake.catalog.model_queries import RULE_SQL, SCORE_CTES, SCORE_SQL
+from citylake.catalog.products import KPI_LONG_SQL
 from citylake.catalog.registry import query
 from citylake.catalog.views import SOURCE_ORDER, bronze_sources, readings, table
+from citylake.dims import EVENT_TYPES, SENTIMENTS, ZONE_NAMES
 from citylake.functions.numeric import np_round
 from citylake.functions.timegrain import add_time_grain
 from citylake.operators.kpi import hour_kpis
 from citylake.operators.quality import first_row, require
 from citylake.operators.upsert import upsert_days
+from citylake.plans.jobs import PROFILE_DEFAULTS, PROFILE_METRICS
 from citylake.schemas import bronze_schema, landed_schema
 from citylake.session import shared_dir
 from citylake.sources import readers as rd
@@ -316,37 +322,130 @@ def _(spark, sf):
     return build_gold(cleaned(spark, sf), shared_dir(spark, "gold"), storage=False)
 
 
-@query("kpi_export", o.ctes(o.GOLD, o.LATEST, o.KPI_GLOBAL) + "SELECT * FROM kpi_global")
-def _(spark, sf):
-    """All KPI tables to CSV; the headline table is read back."""
-    from citylake.catalog.products import gold
-    from citylake.plans.jobs import export_kpis, materialise
+def _long_sql(table_: str, source: str, key: str, numbers: list[str], texts: list[str] = ()) -> str:
+    """A table as rows (tabla, clave, metrica, texto, numero); numbers to nine digits."""
+    head = f"SELECT '{table_}' AS tabla, CAST({key} AS VARCHAR) AS clave"
+    parts = [f"{head}, '{c}' AS metrica, CAST(NULL AS VARCHAR) AS texto, round_even(CAST({c} AS DOUBLE), 9) AS numero FROM {source}" for c in numbers]
+    parts += [f"{head}, '{c}' AS metrica, {c} AS texto, CAST(NULL AS DOUBLE) AS numero FROM {source}" for c in texts]
+    return " UNION ALL ".join(parts)
+
+
+def _long(df, table_: str, key, numbers: list[str], texts: list[str] = ()):
+    none = {"texto": F.lit(None).cast("string"), "numero": F.lit(None).cast("double")}
+
+    def cell(c: str, **value):
+        return F.struct(F.lit(c).alias("metrica"), *[(none | value)[n].alias(n) for n in none])
 
-    path = shared_dir(spark, "kpis")
-    export_kpis(materialise(gold(spark, sf), "kpi-gold"), path)
-    return rd.read_csv(spark, f"{path}/kpi_resumen", "KPI string, Valor string, Unidad string")
+    cells = [cell(c, numero=np_round(F.col(c).cast("double"), 9)) for c in numbers]
+    cells += [cell(c, texto=F.col(c)) for c in texts]
+    return df.select(F.lit(table_).alias("tabla"), key.cast("string").alias("clave"), F.inline(F.array(*cells)))
+
+
+_ZONE_NUMBERS = [
+    "velocidad_kmh", "congestion_ratio", "intensidad_veh_hora", "total_vehiculos",
+    "pct_alto", "pct_medio", "pct_bajo", "registros", "lat", "lon",
+]
+_HOUR_NUMBERS = ["velocidad_kmh", "congestion_ratio", "intensidad_veh_hora", "pct_alto", "es_hora_punta"]
+_SCORES = ["Accuracy", "F1_score", "Precision", "Recall"]
+#: table -> (source in the SQL, key in SQL and in Spark, numbers, texts)
+_EXPORTED = {
+    "kpi_resumen": ("kpi_global", "KPI", "KPI", [], ["Valor", "Unidad"]),
+    "kpi_por_zona": ("kpi_zone", "zona", "zona", _ZONE_NUMBERS, ["nivel_dominante"]),
+    "kpi_resumen_por_zona": ("kz_long", "zona || '/' || KPI", "concat(zona, '/', KPI)", [], ["Valor", "Unidad"]),
+    "kpi_serie_temporal": ("kpi_hour", "hora", "hora", _HOUR_NUMBERS, ["hora_label"]),
+    "kpi_composicion": ("kpi_composition", "tipo_vehiculo", "tipo_vehiculo", ["porcentaje", "porcentaje_norm"], []),
+    "kpi_ml_resultados": ("scored", "'Regla'", "Modelo", _SCORES, []),
+}
 
 
 @query(
-    "profile_job",
+    "kpi_export",
     o.ctes(
-        o.GOLD,
-        "m AS (SELECT max(fecha) AS f FROM gold)",
-        "p AS (SELECT * FROM gold WHERE fecha >= (SELECT f FROM m) - 7)",
-        f"a AS (SELECT {o.exact('congestion_ratio', 4)} AS a FROM p)",
-        f"d AS (SELECT dia_semana, {o.exact('congestion_ratio', 4)} AS f FROM p GROUP BY dia_semana)",
-        "w AS (SELECT CAST(unnest(range(7)) AS INTEGER) AS dia_semana)",
+        o.GOLD, o.LATEST, o.KPI_GLOBAL, o.KPI_ZONE, o.KPI_HOUR, o.KPI_COMPOSITION,
+        "kz AS (SELECT k.*, l.velocidad_kmh AS vel_ultima FROM kpi_zone k JOIN latest l USING (zona))",
+        f"kz_long AS ({KPI_LONG_SQL})",
+        RULE_SQL,
+        *SCORE_CTES,
+        f"scored AS ({SCORE_SQL})",
+    )
+    + " UNION ALL ".join(_long_sql(t, src, key, n, x) for t, (src, key, _, n, x) in _EXPORTED.items()),
+)
+def _(spark, sf):
+    """All six KPI tables to CSV, every one read back."""
+    from citylake.catalog.model_queries import _rule_predictions
+    from citylake.catalog.products import gold
+    from citylake.ml.evaluate import weighted_metrics
+    from citylake.plans.jobs import export_kpis, kpi_tables, materialise
+
+    path, rows = shared_dir(spark, "kpis"), materialise(gold(spark, sf), "kpi-gold")
+    scores = weighted_metrics(_rule_predictions(spark, sf), "y").withColumn("Modelo", F.lit("Regla"))
+    export_kpis(rows, path, scores)
+    schemas = {n: t.schema for n, t in {**kpi_tables(rows), "kpi_ml_resultados": scores}.items()}
+    parts = [
+        _long(rd.read_csv(spark, f"{path}/{t}", schemas[t]), t, F.expr(key), n, x)
+        for t, (_, _, key, n, x) in _EXPORTED.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_LEARNED = [f"{p}_{m}" for m in PROFILE_METRICS for p in ("mean", "std")]
+_PROFILE_CTES = [
+    "m AS (SELECT max(fecha) AS f FROM gold)",
+    "p AS (SELECT * FROM gold WHERE fecha >= (SELECT f FROM m) - 7)",
+    f"z AS (SELECT zona, CAST(unnest(range(24)) AS INTEGER) AS hora FROM (SELECT unnest({o.sql_list(ZONE_NAMES)}) AS zona))",
+    "pr AS (SELECT zona, hora, "
+    + ", ".join(
+        f"coalesce({o.exact(m, 4)}, 0.0::DOUBLE) AS mean_{m}, greatest(coalesce(stddev_samp({m}), 0.01::DOUBLE), 0.01::DOUBLE) AS std_{m}"
+        for m in PROFILE_METRICS
+    )
+    + " FROM p GROUP BY zona, hora HAVING count(*) >= 2)",
+    "nb AS (SELECT z.zona, z.hora, " + ", ".join(f"avg(pr.{c}) AS {c}" for c in _LEARNED)
+    + " FROM z JOIN pr ON pr.zona = z.zona AND (pr.hora - z.hora + 24) % 24 IN (1, 2, 22, 23) GROUP BY z.zona, z.hora)",
+    "perfil AS (SELECT z.zona || '/' || z.hora AS k, "
+    + ", ".join(
+        f"CASE WHEN pr.zona IS NOT NULL THEN pr.{c} ELSE coalesce(nb.{c}, CAST({PROFILE_DEFAULTS.get(c, 'NULL')} AS DOUBLE)) END AS {c}"
+        for c in _LEARNED
     )
-    + "SELECT w.dia_semana, coalesce(f / nullif((SELECT a FROM a), 0), 1.0::DOUBLE) AS factor FROM w LEFT JOIN d USING (dia_semana)",
+    + " FROM z LEFT JOIN pr USING (zona, hora) LEFT JOIN nb USING (zona, hora))",
+    f"a AS (SELECT {o.exact('congestion_ratio', 4)} AS a FROM p)",
+    f"d AS (SELECT dia_semana, {o.exact('congestion_ratio', 4)} AS f FROM p GROUP BY dia_semana)",
+    "dia AS (SELECT w.dia_semana AS k, coalesce(f / nullif((SELECT a FROM a), 0), 1.0::DOUBLE) AS factor FROM (SELECT CAST(unnest(range(7)) AS INTEGER) AS dia_semana) w LEFT JOIN d USING (dia_semana))",
+    "c AS (SELECT zona, hora, count(*) AS n, count(*) FILTER (WHERE nivel_congestion = 'alto') AS a, count(*) FILTER (WHERE nivel_congestion = 'medio') AS m, count(*) FILTER (WHERE nivel_congestion = 'bajo') AS b FROM p GROUP BY zona, hora)",
+    """q AS (SELECT zona, hora, CASE WHEN n >= 3 AND a > 0 THEN a / n ELSE 0.33::DOUBLE END AS pa, CASE WHEN n >= 3 AND m > 0 THEN m / n ELSE 0.34::DOUBLE END AS pm,
+    CASE WHEN n >= 3 AND b > 0 THEN b / n ELSE 0.33::DOUBLE END AS pb FROM z LEFT JOIN c USING (zona, hora))""",
+    "nivel AS (SELECT zona || '/' || hora AS k, pa / (pa + pm + pb) AS p_alto, pm / (pa + pm + pb) AS p_medio, pb / (pa + pm + pb) AS p_bajo FROM q)",
+    f"t AS (SELECT unnest({o.sql_list(EVENT_TYPES)}) AS tipo)",
+    f"s AS (SELECT t.tipo, CASE WHEN count(e.tipo) > 0 THEN count(e.tipo) / (SELECT count(tipo) FROM s_ev) ELSE 1.0::DOUBLE / {len(EVENT_TYPES)} END AS pt FROM t LEFT JOIN s_ev e USING (tipo) GROUP BY t.tipo)",
+    "ev AS (SELECT tipo AS k, (SELECT count(*) / greatest(count(DISTINCT fecha) * 6, 1) FROM s_ev) AS prob_evento, pt / (SELECT sum(pt) FROM s) AS prob_tipo FROM s)",
+    "nw AS (SELECT count(*) AS n, count(DISTINCT (fecha, hora)) AS b, count(*) FILTER (WHERE es_trafico) AS tr, "
+    + ", ".join(f"CASE WHEN count(*) FILTER (WHERE sentiment = '{x}') > 0 THEN count(*) FILTER (WHERE sentiment = '{x}') / count(sentiment) ELSE 1.0::DOUBLE / 3 END AS {x}" for x in SENTIMENTS)
+    + " FROM s_nw)",
+    "nt AS (SELECT 'noticias' AS k, n / greatest(b, 1) AS n_por_lote, tr / n AS pct_trafico, "
+    + ", ".join(f"{x} / (positivo + neutro + negativo) AS p_{x}" for x in SENTIMENTS) + " FROM nw)",
+]
+#: table -> (source in the SQL, key in Spark, numbers)
+_PROFILES = {
+    "perfil_hora": ("perfil", "concat(zona, '/', hora)", _LEARNED),
+    "factor_dia": ("dia", "dia_semana", ["factor"]),
+    "prob_nivel": ("nivel", "concat(zona, '/', hora)", ["p_alto", "p_medio", "p_bajo"]),
+    "eventos": ("ev", "tipo", ["prob_evento", "prob_tipo"]),
+    "noticias": ("nt", "'noticias'", ["n_por_lote", "pct_trafico", *[f"p_{x}" for x in SENTIMENTS]]),
+}
+
+
+@query(
+    "profile_job",
+    o.ctes(o.GOLD, *_PROFILE_CTES) + " UNION ALL ".join(_long_sql(t, src, "k", n) for t, (src, _, n) in _PROFILES.items()),
 )
 def _(spark, sf):
-    """All learned tables written; the weekday factors are read back."""
+    """All five learned tables of the last week written, every one read back."""
     from citylake.catalog.products import cleaned, gold
     from citylake.plans.jobs import learn_profiles, materialise, write_profiles
 
     rows = materialise(gold(spark, sf), "profile-gold")
     parts = cleaned(spark, sf, "eventos", "redes_noticias")
-    learned = learn_profiles(rows, parts["eventos"], parts["redes_noticias"], rows.agg(F.max("fecha")).scalar(), 6)
+    learned = learn_profiles(rows, parts["eventos"], parts["redes_noticias"], rows.agg(F.max("fecha")).scalar(), 6, days=7)
     path = shared_dir(spark, "profiles")
     write_profiles(learned, path)
-    return spark.read.parquet(f"{path}/factor_dia")
+    read = [_long(spark.read.parquet(f"{path}/{t}"), t, F.expr(key), n) for t, (_, key, n) in _PROFILES.items()]
+    return reduce(DataFrame.unionByName, read)

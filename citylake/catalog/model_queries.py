@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from citylake.catalog import oracle as o
 from citylake.catalog.products import gold
-from citylake.catalog.registry import query
+from citylake.catalog.registry import ORACLES, query
 from citylake.catalog.views import table
 from citylake.functions.numeric import np_round
 from citylake.ml import evaluate as ev
@@ -79,21 +81,29 @@ def _(spark, sf):
     )
 
 
-@query("anova_select")
+# ---- fixed values: 5 % critical values of F (2 and many degrees) and of chi-square (2, 12) ----
+_F_CUT, _CHI_CUT = 2.9957, {2: 5.9915, 12: 21.0261}
+# ---- end of fixed values ------------------------------------------------------
+
+
+@query("anova_select", f"SELECT columna, f_value > {_F_CUT} AS elegida FROM ({ORACLES['anova_scores']})")
 def _(spark, sf):
-    indexed, _ = sel.index_label(training_rows(spark, sf).drop(*sel.LEAKAGE), TARGET)
-    _, numeric = sel.split_columns(indexed, TARGET)
-    kept, _ = sel.drop_collinear(indexed, numeric)
-    chosen = sel.select_univariate(indexed, kept, TARGET, categorical=False)
-    return spark.createDataFrame([(c, c in chosen) for c in kept], "columna string, elegida boolean")
+    lines = table(spark, sf, "lineitem").withColumnRenamed("l_returnflag", "y")
+    indexed, _ = sel.index_label(lines.select("y", *[F.col(c).cast("double").alias(c) for c in _NUM]), "y")
+    chosen = sel.select_univariate(indexed, _NUM, "y", categorical=False)
+    return spark.createDataFrame([(c, c in chosen) for c in _NUM], "columna string, elegida boolean")
 
 
-@query("chi2_select")
+@query(
+    "chi2_select",
+    f"SELECT columna, estadistico > CASE grados WHEN 2 THEN {_CHI_CUT[2]} WHEN 12 THEN {_CHI_CUT[12]} END AS elegida FROM ({ORACLES['chi2_scores']})",
+)
 def _(spark, sf):
-    indexed, _ = sel.index_label(training_rows(spark, sf).drop(*sel.LEAKAGE), TARGET)
-    text, _ = sel.split_columns(indexed, TARGET)
-    chosen = sel.select_univariate(indexed, text, TARGET, categorical=True)
-    return spark.createDataFrame([(c, c in chosen) for c in text], "columna string, elegida boolean")
+    mode = F.concat(F.lit("m"), (F.col("l_orderkey") % 7).cast("string")).alias("modo")
+    rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("y"), "l_linestatus", mode)
+    indexed, _ = sel.index_label(rows, "y")
+    chosen = sel.select_univariate(indexed, _TXT, "y", categorical=True)
+    return spark.createDataFrame([(c, c in chosen) for c in _TXT], "columna string, elegida boolean")
 
 
 def _rule_predictions(spark, sf):
@@ -104,29 +114,27 @@ def _rule_predictions(spark, sf):
     return gold(spark, sf).select((F.array_position(order, F.col(TARGET)) - 1).cast("double").alias("y"), guess.alias("prediction"))
 
 
-_RULE = "p AS (SELECT CASE nivel_congestion WHEN 'bajo' THEN 0 WHEN 'medio' THEN 1 ELSE 2 END AS y, CASE WHEN indice_congestion < 1.25 THEN 0 WHEN indice_congestion < 1.60 THEN 1 ELSE 2 END AS g FROM gold)"
+RULE_SQL = "p AS (SELECT CASE nivel_congestion WHEN 'bajo' THEN 0 WHEN 'medio' THEN 1 ELSE 2 END AS y, CASE WHEN indice_congestion < 1.25 THEN 0 WHEN indice_congestion < 1.60 THEN 1 ELSE 2 END AS g FROM gold)"
 
 
 @query(
     "confusion_matrix",
-    o.ctes(o.GOLD, _RULE)
+    o.ctes(o.GOLD, RULE_SQL)
     + "SELECT CAST(c AS DOUBLE) AS clase, count(*) FILTER (WHERE g = 0) AS pred_0, count(*) FILTER (WHERE g = 1) AS pred_1, count(*) FILTER (WHERE g = 2) AS pred_2 FROM (SELECT unnest(range(3)) AS c) LEFT JOIN p ON y = c GROUP BY c",
 )
 def _(spark, sf):
     return ev.confusion(_rule_predictions(spark, sf), "y", 3)
 
 
-@query(
-    "model_metrics",
-    o.ctes(
-        o.GOLD,
-        _RULE,
-        "k AS (SELECT c, (SELECT count(*) FROM p WHERE y = c) AS sup, (SELECT count(*) FROM p WHERE g = c) AS said, (SELECT count(*) FROM p WHERE y = c AND g = c) AS hit FROM (SELECT unnest(range(3)) AS c))",
-        "w AS (SELECT *, coalesce(hit / nullif(said, 0), 0) AS pr, coalesce(hit / nullif(sup, 0), 0) AS re FROM k)",
-    )
-    + """SELECT round_even(sum(hit) / sum(sup), 4) AS Accuracy, round_even(sum(sup * coalesce(2 * pr * re / nullif(pr + re, 0), 0)) / sum(sup), 4) AS F1_score,
-    round_even(sum(sup * pr) / sum(sup), 4) AS Precision, round_even(sum(sup * re) / sum(sup), 4) AS Recall FROM w""",
-)
+SCORE_CTES = [
+    "k AS (SELECT c, (SELECT count(*) FROM p WHERE y = c) AS sup, (SELECT count(*) FROM p WHERE g = c) AS said, (SELECT count(*) FROM p WHERE y = c AND g = c) AS hit FROM (SELECT unnest(range(3)) AS c))",
+    "w AS (SELECT *, coalesce(hit / nullif(said, 0), 0) AS pr, coalesce(hit / nullif(sup, 0), 0) AS re FROM k)",
+]
+SCORE_SQL = """SELECT round_even(sum(hit) / sum(sup), 4) AS Accuracy, round_even(sum(sup * coalesce(2 * pr * re / nullif(pr + re, 0), 0)) / sum(sup), 4) AS F1_score,
+    round_even(sum(sup * pr) / sum(sup), 4) AS Precision, round_even(sum(sup * re) / sum(sup), 4) AS Recall FROM w"""
+
+
+@query("model_metrics", o.ctes(o.GOLD, RULE_SQL, *SCORE_CTES) + SCORE_SQL)
 def _(spark, sf):
     return ev.weighted_metrics(_rule_predictions(spark, sf), "y")
 
@@ -139,26 +147,63 @@ def _(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", md.argmax(F.col("embedding")).alias("prediction"))
 
 
+@functools.lru_cache(maxsize=1)
 def compared(spark, sf):
+    """Nine classifiers on the gold table and a 20 % holdout, trained once per session and table:
+    the comparison table, the confusion matrices, and the rows of each class in the holdout."""
     ready = pp.prepare(training_rows(spark, sf), TARGET)
-    pool = md.candidates(TARGET, ready.size, len(ready.selection.labels))
-    return ready, *ev.train_and_compare(ready, pool)
+    results, fitted = ev.train_and_compare(ready, md.candidates(TARGET, ready.size, len(ready.selection.labels)))
+    out = (
+        materialise(results, "model-results"),
+        materialise(ev.confusions(ready, fitted), "model-confusion"),
+        materialise(ready.test.groupBy(F.col(TARGET).alias("clase")).agg(F.count(F.lit(1)).alias("n")), "model-holdout"),
+    )
+    ready.release()
+    return out
+
 
+_POOL = [
+    "DecisionTree", "RandomForest", "GBT (OvR manual)", "LogisticRegression", "MLP", "NaiveBayes",
+    "LinearSVC (OvR)", "FMClassifier (OvR)", "OvR + LR binaria",
+]
 
-@query("model_comparison")
+
+@query(
+    "model_comparison",
+    " UNION ALL ".join(f"SELECT {o.q(n)} AS Modelo, 'ok' AS Estado, TRUE AS en_rango, TRUE AS mejor_es_maximo" for n in _POOL),
+)
 def _(spark, sf):
-    """All nine classifiers on the gold table, evaluated on a 20 % holdout."""
-    ready, results, _ = compared(spark, sf)
-    ready.release()
-    return results
+    """All nine classifiers: none failed, metrics are shares, the flag is on the largest F1 only."""
+    results, _, _ = compared(spark, sf)
+    shares = [F.col(m).between(0, 1) for m in ev.METRICS.values()]
+    top = results.agg(F.max("F1_score")).scalar()
+    return results.select(
+        "Modelo",
+        "Estado",
+        functools.reduce(lambda a, b: a & b, shares).alias("en_rango"),
+        ((F.col("es_mejor") == 1) == (F.col("F1_score") == top)).alias("mejor_es_maximo"),
+    )
+
+
+@query(
+    "model_confusion",
+    o.ctes(o.GOLD) + " UNION ALL ".join(f"SELECT {o.q(n)} AS Modelo, (SELECT count(DISTINCT {TARGET}) FROM gold) AS clases, TRUE AS cuadra" for n in _POOL),
+)
+def _(spark, sf):
+    """A confusion matrix per model, whose row sums are the holdout's rows of each class."""
+    _, cells, holdout = compared(spark, sf)
+    said = [c for c in cells.columns if c.startswith("pred_")]
+    total = functools.reduce(lambda a, b: a + b, [F.col(c) for c in said])
+    both = cells.join(holdout, "clase", "left")
+    return both.groupBy("Modelo").agg(
+        F.count(F.lit(1)).alias("clases"), F.bool_and(total == F.coalesce("n", F.lit(0))).alias("cuadra")
+    )
 
 
 @query("m_best_model")
 def _(spark, sf):
     """Best-model card from a live comparison of all nine classifiers."""
-    ready, results, _ = compared(spark, sf)
-    ready.release()
-    return measures.best_model(results)
+    return measures.best_model(compared(spark, sf)[0])
 
 
 @query("batch_inference")
@@ -174,13 +219,36 @@ def _(spark, sf):
     return relabelled.groupBy("origen_nivel", TARGET).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("ovr_inference", o.ctes(o.GOLD) + "SELECT count(*) AS filas, TRUE AS iguales, TRUE AS reglas FROM gold")
+def _(spark, sf):
+    """A one-vs-rest model saved, loaded and applied: as the fitted one where all inputs are
+    there, the rule label elsewhere, every row kept."""
+    rows = training_rows(spark, sf)
+    ready = pp.prepare(rows, TARGET)
+    chosen = next(c for c in md.candidates(TARGET, ready.size, len(ready.selection.labels)) if c.name == "OvR + LR binaria")
+    fitted, path, key = chosen.estimator.fit(ready.train), shared_dir(spark, "model"), ["zona", "fecha", "hora"]
+    store.save(ready, fitted, chosen.name, path)
+    direct = fitted.transform(ready.model.transform(rows.drop(TARGET))).select(
+        *key, store.label_of(F.col("prediction"), ready.selection.labels).alias("directo")
+    )
+    ready.release()
+    out = store.predict(rows, path).join(direct, key, "left").join(rows.select(*key, F.col(TARGET).alias("regla")), key)
+    scored = F.col("origen_nivel") == "modelo"
+    return out.agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.bool_and(~scored | (F.col(TARGET) == F.col("directo"))).alias("iguales"),
+        F.bool_and(scored | (F.col(TARGET) == F.col("regla"))).alias("reglas"),
+    )
+
+
 @query("embedding_classes")
 def _(spark, sf):
-    """Ten balanced classes from raw vectors: one-vs-rest beyond three classes."""
+    """Classes from raw vectors, scored on a holdout: one-vs-rest beyond three classes."""
     data = table(spark, sf, "embeddings").select(
-        "vec_id", F.col("label").cast("double").alias("y"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features_scaled")
+        "vec_id", F.col("label").cast("double").alias("y"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features_scaled"),
+        F.size("embedding").alias("n"),
     )
-    pool = md.candidates("y", 64, 10)
-    svc = next(c for c in pool if c.name == "LinearSVC (OvR)")
-    fitted = svc.estimator.fit(data)
-    return ev.weighted_metrics(fitted.transform(data), "y")
+    size, classes = data.agg(F.max("n"), F.countDistinct("y")).first()
+    train, test = data.drop("n").randomSplit([0.8, 0.2], seed=pp.SEED)
+    svc = next(c for c in md.candidates("y", size, classes) if c.name == "LinearSVC (OvR)")
+    return ev.weighted_metrics(svc.estimator.fit(train).transform(test), "y")

@@ -143,10 +143,13 @@ _LONG = [
 ]
 
 
+KPI_LONG_SQL = " UNION ALL ".join(f"SELECT zona, {o.q(n)} AS KPI, {v} AS Valor, '{u}' AS Unidad FROM kz" for n, v, u in _LONG)
+
+
 @query(
     "kpi_long",
     o.ctes(o.GOLD, o.KPI_ZONE, o.LATEST, "kz AS (SELECT k.*, l.velocidad_kmh AS vel_ultima FROM kpi_zone k JOIN latest l USING (zona))")
-    + " UNION ALL ".join(f"SELECT zona, {o.q(n)} AS KPI, {v} AS Valor, '{u}' AS Unidad FROM kz" for n, v, u in _LONG),
+    + KPI_LONG_SQL,
 )
 def _(spark, sf):
     return kpi.zone_kpis_long(gold(spark, sf))

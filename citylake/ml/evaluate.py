@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,23 +55,22 @@ def weighted_metrics(predictions: DataFrame, label: str) -> DataFrame:
 
 
 def multiclass_metrics(predictions: DataFrame, label: str) -> dict[str, float]:
-    evaluator = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction")
-    return {out: round(evaluator.setMetricName(name).evaluate(predictions), 4) for name, out in METRICS.items()}
+    """`weighted_metrics` as a dict: one pass over the predictions."""
+    return weighted_metrics(predictions, label).first().asDict()
 
 
 def binary_auc(predictions: DataFrame, label: str) -> float:
-    """Area under ROC; NaN when it is undefined, as with one class only."""
-    try:
-        return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC").evaluate(predictions)
-    except Exception as error:  # no score column, or one class only
-        print(f"AUC unavailable: {error}")
+    """Area under ROC; NaN where it is undefined: no score column, or one class only."""
+    if "rawPrediction" not in predictions.columns or predictions.select(label).distinct().limit(2).count() < 2:
         return math.nan
+    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC").evaluate(predictions)
 
 
 def train_and_compare(ready: Prepared, models: list[Candidate]) -> tuple[DataFrame, dict[str, object]]:
-    """Fit every candidate; a failing one is reported and left out.
+    """Fit every candidate and score it on the holdout.
 
-    Returns the comparison table, best F1 flagged, and the fitted models.
+    Returns the comparison table, one row per candidate and the best F1 flagged, and the
+    fitted models. A failing candidate keeps its row: no metrics, the error as `Estado`.
     """
     label, rows, fitted = ready.selection.label, [], {}
     for candidate in models:
@@ -78,15 +78,25 @@ def train_and_compare(ready: Prepared, models: list[Candidate]) -> tuple[DataFra
             model = candidate.estimator.fit(ready.train)
             metrics = multiclass_metrics(model.transform(ready.test), label)
         except Exception as error:  # one model must not stop the comparison
-            print(f"{candidate.name} left out: {type(error).__name__}: {error}")
+            rows.append((candidate.name, candidate.kind, *[None] * len(METRICS), f"error: {type(error).__name__}: {error}"[:500]))
             continue
         fitted[candidate.name] = model
-        rows.append((candidate.name, candidate.kind, *[metrics[m] for m in METRICS.values()]))
+        rows.append((candidate.name, candidate.kind, *[metrics[m] for m in METRICS.values()], "ok"))
     spark = ready.train.sparkSession
-    schema = "Modelo string, Tipo string, " + ", ".join(f"{m} double" for m in METRICS.values())
+    schema = "Modelo string, Tipo string, " + ", ".join(f"{m} double" for m in METRICS.values()) + ", Estado string"
     return flag_best(spark.createDataFrame(rows, schema)), fitted
 
 
+def confusions(ready: Prepared, fitted: dict[str, object]) -> DataFrame:
+    """A dense confusion matrix on the holdout for every fitted model."""
+    classes = len(ready.selection.labels)
+    parts = [
+        confusion(model.transform(ready.test), ready.selection.label, classes).withColumn("Modelo", F.lit(name))
+        for name, model in fitted.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def flag_best(results: DataFrame) -> DataFrame:
     best = results.agg(F.max("F1_score")).scalar()
-    return results.withColumn("es_mejor", (F.col("F1_score") == best).cast("int"))
+    return results.withColumn("es_mejor", F.coalesce((F.col("F1_score") == best).cast("int"), F.lit(0)))

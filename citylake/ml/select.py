@@ -70,19 +70,15 @@ def select_univariate(df: DataFrame, columns: list[str], label: str, categorical
     numbers, chi-square for text). Too little data for the test keeps all."""
     if not columns or (not categorical and len(columns) < 2):
         return columns
-    try:
-        prepared = indexed_text(df, columns) if categorical else df
-        inputs = [f"{c}_idx" for c in columns] if categorical else columns
-        selector = UnivariateFeatureSelector(
-            featuresCol="vec", labelCol=label, selectionMode="fpr", outputCol="selected"
-        )
-        selector.setFeatureType("categorical" if categorical else "continuous")
-        selector.setLabelType("categorical").setSelectionThreshold(p)
-        model = selector.fit(as_vector(prepared, inputs))
-    except Exception as error:  # the test is undefined, for example with one class only
-        print(f"univariate test skipped, all columns kept: {error}")
-        return columns
-    return [columns[i] for i in model.selectedFeatures]
+    prepared = indexed_text(df, columns) if categorical else df
+    inputs = [f"{c}_idx" for c in columns] if categorical else columns
+    vectors = as_vector(prepared, inputs)
+    if vectors.select(label).distinct().limit(2).count() < 2:
+        return columns  # the tests are undefined with one class only
+    selector = UnivariateFeatureSelector(featuresCol="vec", labelCol=label, selectionMode="fpr", outputCol="selected")
+    selector.setFeatureType("categorical" if categorical else "continuous")
+    selector.setLabelType("categorical").setSelectionThreshold(p)
+    return [columns[i] for i in selector.fit(vectors).selectedFeatures]
 
 
 def anova_scores(df: DataFrame, columns: list[str], label: str) -> DataFrame:

@@ -7,11 +7,11 @@ import json
 from pyspark.ml import PipelineModel, classification
 from pyspark.ml.base import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.util import MLWritable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.functions.traffic import congestion_level
+from citylake.ml.models import OneVsRestModel
 from citylake.ml.prep import Prepared, non_negative
 from citylake.ml.select import LEAKAGE
 
@@ -19,16 +19,18 @@ from citylake.ml.select import LEAKAGE
 def save(ready: Prepared, model: Model, name: str, path: str) -> None:
     """Pipeline, classifier and a one-row JSON description.
 
-    `name` is the winner of the comparison unless the caller asks for another one.
+    `name` is the winner of the comparison unless the caller asks for another one. A
+    one-vs-rest model is stored as its binary models, in class order.
     """
-    if not isinstance(model, MLWritable):
-        raise TypeError(f"{name} has no single stored form; save its binary models one by one")
     spark = ready.train.sparkSession
+    parts = model.models if isinstance(model, OneVsRestModel) else [model]
     ready.model.write().overwrite().save(f"{path}/prep")
-    model.write().overwrite().save(f"{path}/model")
+    for k, part in enumerate(parts):
+        part.write().overwrite().save(f"{path}/model/{k}")
     described = {
         "modelo": name,
-        "clase": type(model).__name__,
+        "clases": [type(part).__name__ for part in parts],
+        "uno_contra_resto": isinstance(model, OneVsRestModel),
         "labels": ready.selection.labels,
         "numericas": ready.selection.numeric,
         "categoricas": ready.selection.text,
@@ -40,9 +42,9 @@ def save(ready: Prepared, model: Model, name: str, path: str) -> None:
 
 
 def save_best(ready: Prepared, results: DataFrame, fitted: dict[str, Model], path: str) -> str:
-    """Save the model with the best F1 among those with a single stored form; returns its name."""
-    ranked = [r.Modelo for r in results.orderBy(F.desc("F1_score"), "Modelo").collect()]
-    name = next(n for n in ranked if isinstance(fitted[n], MLWritable))
+    """Save the fitted model with the best F1; returns its name."""
+    ranked = [r.Modelo for r in results.orderBy(F.desc_nulls_last("F1_score"), "Modelo").collect()]
+    name = next(n for n in ranked if n in fitted)
     save(ready, fitted[name], name, path)
     return name
 
@@ -51,6 +53,11 @@ def describe(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(f"{path}/metadata").head().value)
 
 
+def load_model(about: dict, path: str) -> Model | OneVsRestModel:
+    parts = [getattr(classification, c).load(f"{path}/model/{k}") for k, c in enumerate(about["clases"])]
+    return OneVsRestModel(parts) if about["uno_contra_resto"] else parts[0]
+
+
 def label_of(index: Column, labels: list[str]) -> Column:
     """Class index to label; an unknown index gives the first label."""
     names = F.array(*[F.lit(x) for x in labels])
@@ -74,7 +81,7 @@ def predict(gold: DataFrame, path: str) -> DataFrame:
     """
     about = describe(gold.sparkSession, path)
     prep = PipelineModel.load(f"{path}/prep")
-    model = getattr(classification, about["clase"]).load(f"{path}/model")
+    model = load_model(about, path)
     for stage in prep.stages:
         if isinstance(stage, VectorAssembler):
             stage.setHandleInvalid("keep")

@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citylake.dims import zone_frame
 from citylake.operators.advise import route_advice, signal_timing
 from citylake.operators.kpi import composition_kpis, global_kpis, hour_kpis, zone_kpis, zone_kpis_long
 from citylake.operators.profile import (
@@ -159,12 +160,13 @@ def learn_profiles(gold: DataFrame, events: DataFrame, news: DataFrame, as_of, z
     `recent_or_wider` is there for callers that want a wider one on thin data.
     """
     recent = gold.filter(F.col("fecha") >= F.date_sub(as_of, days))
+    places = zone_frame(gold.sparkSession).select("zona")
     metrics = [m for m in PROFILE_METRICS if m in gold.columns]
     columns = [f"{p}_{m}" for p in ("mean", "std") for m in metrics]
     return {
-        "perfil_hora": circular_fill(zone_hour_profile(recent, metrics), columns, PROFILE_DEFAULTS),
+        "perfil_hora": circular_fill(zone_hour_profile(recent, metrics), columns, PROFILE_DEFAULTS, keys=places),
         "factor_dia": weekday_factors(recent),
-        "prob_nivel": class_probabilities(recent),
+        "prob_nivel": class_probabilities(recent, keys=places),
         "eventos": event_rate(events, zones),
         "noticias": news_rate(news),
     }

@@ -79,14 +79,17 @@ def test_quick_models_beat_the_majority_class(ready):
     assert max(r.Accuracy for r in got.values()) >= max(counts) / sum(counts)
 
 
-def test_failing_model_is_left_out(ready):
+def test_failing_model_keeps_its_row(ready):
     class Broken:
         def fit(self, _):
             raise RuntimeError("no")
 
     good = next(c for c in md.candidates(TARGET, ready.size, 3) if c.name == "DecisionTree")
-    results, _ = ev.train_and_compare(ready, [md.Candidate("Broken", md.NATIVE, Broken()), good])
-    assert [r.Modelo for r in results.collect()] == ["DecisionTree"]
+    results, fitted = ev.train_and_compare(ready, [md.Candidate("Broken", md.NATIVE, Broken()), good])
+    got = {r.Modelo: r for r in results.collect()}
+    assert set(got) == {"Broken", "DecisionTree"} and set(fitted) == {"DecisionTree"}
+    assert got["Broken"].Estado == "error: RuntimeError: no" and got["Broken"].F1_score is None
+    assert [got[m].es_mejor for m in ("Broken", "DecisionTree")] == [0, 1]
 
 
 def test_argmax_takes_the_lowest_index_on_ties(spark):
@@ -147,12 +150,11 @@ def test_saved_model_predicts_the_same_and_rules_fill_gaps(spark, rows, ready):
     assert by_rule.count() > 0 and by_rule.filter(F.col(TARGET) != F.col("regla")).count() == 0
 
 
-def test_best_storable_model_is_saved_and_loaded(spark, rows, ready):
+def test_best_model_is_saved_and_loaded_whatever_its_kind(spark, rows, ready):
     pool = md.candidates(TARGET, ready.size, len(ready.selection.labels))
-    nb = next(c for c in pool if c.name == "NaiveBayes")
-    results, fitted = ev.train_and_compare(ready, [nb])
-    fitted["OvR"] = md.OneVsRestModel([])
-    ranked = results.select("Modelo", "F1_score").unionByName(spark.createDataFrame([("OvR", 1.0)], "Modelo string, F1_score double"))
+    ovr = next(c for c in pool if c.name == "OvR + LR binaria")
+    results, fitted = ev.train_and_compare(ready, [ovr])
     path = shared_dir(spark, "t-best")
-    assert store.save_best(ready, ranked, fitted, path) == "NaiveBayes"
+    assert store.save_best(ready, results, fitted, path) == "OvR + LR binaria"
+    assert store.describe(spark, path)["uno_contra_resto"]
     assert store.predict(rows, path).filter(F.col(TARGET).isNull()).count() == 0
