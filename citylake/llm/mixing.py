@@ -1,15 +1,15 @@
 """Mixing to target weights with soft domain membership, in DataFrame operations only.
 
-A naive Bayes classifier over hashed tokens, fitted on a labelled table, gives every
-document a posterior over domains; a document's tokens belong to the domains in these
+A naive Bayes classifier over present and absent word stems, fitted on a labelled table,
+gives every document a posterior over domains; a document's tokens belong to the domains in these
 shares. Projected gradient steps then fit one nonnegative rate per document so that the
 expected tokens of each domain meet the targets in least squares. The residuals (one per
 domain) are whitened by the Gram matrix of the memberships, so that a step of
 length 1 is near the best; a step that does not bring the totals nearer is halved. A step
 needs the domains' totals, one aggregation, and nothing per document leaves the cluster.
 
-Cases. Null text and texts without a token have no tokens, the prior as posterior and the
-starting rate. Rows that repeat (id, text) are one variable and their tokens count
+Cases. Null text and texts without a token have no tokens, the posterior of a text without
+any telling stem, and the starting rate. Rows that repeat (id, text) are one variable and their tokens count
 together. Labels with a null id or domain, and ids without a text, are not used; without
 any labelled text all domains are equally likely. Empty tables give no rows. Ties cannot
 occur. Other columns are ignored. Very long texts are tokenised whole.
@@ -27,9 +27,12 @@ from pyspark.sql import functions as F
 
 from citylake.llm.common import discard, staged
 
-BUCKETS = 8192
+BUCKETS = 1 << 15
+STEM = 5
 PER_DOMAIN = 2000
-EVIDENCE = 30.0
+SMOOTH = 5.0
+LEAST_SHARE = 0.01
+LEAST_PART = 0.8
 STEPS = 80
 CLOSE = 1e-7
 RESTART = 8
@@ -38,10 +41,20 @@ CUT = r"\s+|(?<=[\p{L}\p{N}])(?=[^\p{L}\p{N}\s])"
 
 
 def tokens(docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
-    """`keep`, tokens per row as bucket numbers; one row with a null bucket if there is none."""
+    """`keep` and the different buckets of a text's stems, one per row; the first row of each
+    text (the only one, with a null bucket, if it has no tokens) carries 1 as `texts` and the
+    number of its tokens as `n`, the others 0."""
     cut = F.filter(F.split(F.lower(text_col), CUT, -1), lambda t: t != "")
-    return docs.select(*keep, F.explode_outer(cut).alias("token")).select(
-        *keep, F.when(F.col("token").isNotNull(), F.pmod(F.xxhash64("token"), F.lit(BUCKETS))).alias("bucket")
+    # Inflected and compound forms share a beginning.
+    stems = F.array_distinct(
+        F.transform("cut", lambda t: F.pmod(F.xxhash64(F.left(t, F.lit(STEM))), F.lit(BUCKETS)).cast("int"))
+    )
+    rows = docs.select(*keep, cut.alias("cut")).select(
+        *keep, F.greatest(F.size("cut"), F.lit(0)).alias("size"), F.posexplode_outer(stems).alias("at", "bucket")
+    )
+    first = F.coalesce(F.col("at"), F.lit(0)) == 0
+    return rows.select(
+        *keep, "bucket", first.cast("int").alias("texts"), F.when(first, F.col("size")).otherwise(0).alias("n")
     )
 
 
@@ -63,64 +76,69 @@ def fit_classifier(
     text_col: str = "text",
     per_domain: int = PER_DOMAIN,
 ) -> tuple[DataFrame, list[float]]:
-    """(bucket, w_0, w_1, ...): log-likelihoods, at most BUCKETS rows; and the log priors.
+    """(bucket, w_0, w_1, ...) and the intercepts of a naive Bayes classifier over present and
+    absent stems: what the presence of a bucket adds to a domain's log-odds, at most BUCKETS rows.
 
     `labels` holds (id, domain). The sample has at most `per_domain` ids of a domain; the
-    priors come from all labels.
+    priors come from all labels. Only buckets count that LEAST_SHARE of the sample hold and
+    of whose rates over the domains one makes up LEAST_PART: so the many stems that lean a
+    little to a domain (as those of a language or of long texts do) don't outweigh the few
+    that tell.
     """
+    ks = range(len(domains))
     counts = {r["domain"]: r["n"] for r in labels.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.get(d, 0) + 1 for d in domains)
     priors = [math.log((counts.get(d, 0) + 1) / total) for d in domains]
     few = staged(sample(labels, domains, per_domain), "mixing-sample")  # <= domains * per_domain rows
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    seen = tokens(texts.join(F.broadcast(few), "id"), "text", "domain")
-    per_bucket = staged(
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    texts = texts.join(F.broadcast(few), "id").groupBy("id", "domain").agg(F.min("text").alias("text"))
+    texts = staged(texts, "mixing-texts")  # an id counts once
+    counted = [F.count(F.when(F.col("domain") == d, 1)).alias(f"c_{k}") for k, d in enumerate(domains)]
+    seen = tokens(texts, "text", "domain").groupBy("bucket").agg(*counted)
+    sizes = {r["domain"]: r["n"] for r in texts.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    n = [float(sizes.get(d, 0)) for d in domains]
+    every = max(sum(n), 1.0)
+    pooled = (reduce(lambda a, b: a + b, [F.col(f"c_{k}") for k in ks]) + 0.5) / (every + 1.0)
+    shares = [(F.col(f"c_{k}") + SMOOTH * F.col("pooled")) / (n[k] + SMOOTH) for k in ks]
+    held = [F.col(f"q_{k}") for k in ks]
+    telling = (F.greatest(*held) if len(held) > 1 else held[0]) >= LEAST_PART * reduce(lambda a, b: a + b, held)
+    kept = (
         seen.filter("bucket IS NOT NULL")
-        .groupBy("bucket")
-        .agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"c_{k}") for k, d in enumerate(domains)]),
-        "mixing-counts",
+        .withColumn("pooled", pooled)
+        .filter(F.col("pooled") >= LEAST_SHARE)
+        .select("bucket", "pooled", *[q.alias(f"q_{k}") for k, q in enumerate(shares)])
+        .filter(telling)
     )
-    sums = per_bucket.agg(*[F.sum(f"c_{k}") for k in range(len(domains))]).first()
-    return (
-        per_bucket.select(
-            "bucket",
-            *[
-                F.log((F.col(f"c_{k}") + 1) / F.lit(float((sums[k] or 0) + BUCKETS))).alias(f"w_{k}")
-                for k in range(len(domains))
-            ],
-        ),
-        priors,
+    absent = [F.log((1 - F.col(f"q_{k}")) / (1 - F.col("pooled"))) for k in ks]
+    model = kept.select(
+        "bucket", *[(F.log(F.col(f"q_{k}") / F.col("pooled")) - absent[k]).alias(f"w_{k}") for k in ks]
     )
+    base = kept.agg(*[F.sum(a) for a in absent]).first()
+    return model, [p + float(b or 0.0) for p, b in zip(priors, base, strict=True)]
 
 
 def memberships(
     docs: DataFrame,
     model: DataFrame,
-    priors: list[float],
+    intercepts: list[float],
     id_col: str = "doc_id",
     text_col: str = "text",
-    evidence: float = EVIDENCE,
 ) -> DataFrame:
-    """(id, row, n_tokens, p_0, p_1, ...): posterior of each document.
-
-    The mean log-likelihood of its tokens counts as `evidence` tokens, so that a long
-    text is not certain only because it is long.
-    """
-    ks = range(len(priors))
+    """(id, row, n_tokens, p_0, p_1, ...): posterior of each document."""
+    ks = range(len(intercepts))
     keyed = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text")
     )
     # At most BUCKETS rows of a few doubles.
     scored = tokens(keyed, "text", "id", "row").join(F.broadcast(model), "bucket", "left")
     sums = scored.groupBy("id", "row").agg(
-        F.count("bucket").alias("n_tokens"),
+        F.sum("n").alias("n_tokens"),
+        F.sum("texts").alias("texts"),
         *[F.sum(F.coalesce(f"w_{k}", F.lit(0.0))).alias(f"s_{k}") for k in ks],
     )
-    logit = [
-        F.lit(priors[k]) + evidence * F.col(f"s_{k}") / F.greatest("n_tokens", F.lit(1)) for k in ks
-    ]
-    raised = sums.select("id", "row", "n_tokens", *[x.alias(f"l_{k}") for k, x in enumerate(logit)])
-    top = F.greatest(*[F.col(f"l_{k}") for k in ks]) if len(priors) > 1 else F.col("l_0")
+    logits = [(F.lit(intercepts[k]) + F.col(f"s_{k}") / F.col("texts")).alias(f"l_{k}") for k in ks]
+    raised = sums.select("id", "row", "n_tokens", *logits)
+    top = F.greatest(*[F.col(f"l_{k}") for k in ks]) if len(intercepts) > 1 else F.col("l_0")
     shares = raised.select("id", "row", "n_tokens", *[F.exp(F.col(f"l_{k}") - top).alias(f"e_{k}") for k in ks])
     whole = reduce(lambda a, b: a + b, [F.col(f"e_{k}") for k in ks])
     return shares.select("id", "row", "n_tokens", *[(F.col(f"e_{k}") / whole).alias(f"p_{k}") for k in ks])
@@ -218,8 +236,8 @@ def mix(
     least: float = 0.0,
 ) -> DataFrame:
     """(id, row, n_tokens, p_0, ..., rate) of `docs` (doc_id, text) for `labels` (id, domain)."""
-    model, priors = fit_classifier(docs, labels, domains)
-    return fit_rates(memberships(docs, model, priors), targets, size, least)
+    model, intercepts = fit_classifier(docs, labels, domains)
+    return fit_rates(memberships(docs, model, intercepts), targets, size, least)
 
 
 def repeat_by_rate(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

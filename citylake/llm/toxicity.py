@@ -1,6 +1,7 @@
 """Toxicity by a classifier chain.
 
-The chain predicts one category after the other from hashed words; each later linear model
+The chain predicts one category after the other from hashed words and word beginnings; each
+later linear model
 also sees the probabilities of the earlier ones. In training these are out-of-fold: a row's
 probability comes from a model fitted without its fold, as it will for unseen texts.
 
@@ -35,6 +36,7 @@ SAMPLE = 10_000
 FOLDS = 4
 CATEGORIES = ("low_quality", "toxic")
 RUN_BYTES = 6 << 20
+STEMS = (4, 5, 6)
 LEAST_ROWS = 3
 THRESHOLD = 0.5
 
@@ -48,15 +50,22 @@ class Link(NamedTuple):
     share: float | None
 
 
+def codes_of(word: str) -> list[int]:
+    """Hashes of a word and of its beginnings, which inflected and compound forms share."""
+    if not word:
+        return [-1] * (1 + len(STEMS))
+    stems = [f"{word[:n]}*" if len(word) > n else word for n in STEMS]
+    return [zlib.crc32(part.encode()) % FEATURES for part in (word, *stems)]
+
+
 def features_of(texts: pa.Array) -> list[np.ndarray]:
-    """Different hashed words of each text (no nulls)."""
+    """Different hashed words and word beginnings of each text (no nulls)."""
     lists = pc.split_pattern_regex(pc.utf8_lower(texts), r"[^\pL\pN_]+")
     coded = lists.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
-    codes = np.fromiter((zlib.crc32(w.encode()) % FEATURES if w else -1 for w in words), np.int64, len(words))
-    found = codes[coded.indices.to_numpy()]
+    codes = np.array([codes_of(w) for w in coded.dictionary.to_pylist()], np.int64).reshape(-1, 1 + len(STEMS))
+    words = coded.indices.to_numpy()
     edges = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))
-    out = [np.unique(found[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
+    out = [np.unique(codes[np.unique(words[i:j])]) for i, j in zip(edges, edges[1:], strict=False)]
     return [f[1:] if len(f) and f[0] < 0 else f for f in out]
 
 
@@ -86,7 +95,7 @@ def fit_link(features: list[np.ndarray], earlier: np.ndarray, labels: np.ndarray
         [np.concatenate((f, extra)) for f in features],
         [np.concatenate((np.ones(len(f)), e)) for f, e in zip(features, earlier, strict=True)],
     )
-    model = Ftrl(FEATURES + earlier.shape[1], 2, rate=0.15, l1=1.5, l2=0.5).fit(rows, labels, epochs=4)
+    model = Ftrl(FEATURES + earlier.shape[1], 2, rate=0.5, l1=1.5, l2=0.1).fit(rows, labels, epochs=4)
     w = model.weights()
     w = w[:, 1] - w[:, 0]
     return Link(w[:FEATURES], w[FEATURES:-1], float(w[-1]), None)

@@ -18,33 +18,42 @@ def slow_tokens(text):
 
 def test_tokens_against_a_loop(spark):
     docs = awkward(spark).select(F.monotonically_increasing_id().alias("k"), "text")
-    got = {r["k"]: r["n"] for r in tokens(docs, "text", "k").groupBy("k").agg(F.count("bucket").alias("n")).collect()}
-    want = {r["k"]: len(slow_tokens(r["text"])) for r in docs.collect()}
-    assert got == want
+    sums = tokens(docs, "text", "k").groupBy("k").agg(F.sum("n"), F.sum("texts"), F.countDistinct("bucket"))
+    got = {r[0]: tuple(r)[1:] for r in sums.collect()}
+    stems = spark.createDataFrame([(t,) for t in {t[: mixing.STEM] for r in docs.collect() for t in slow_tokens(r["text"])}], "t string")
+    bucket = {r["t"]: r["b"] for r in stems.select("t", F.pmod(F.xxhash64("t"), F.lit(BUCKETS)).alias("b")).collect()}
+    words = {r["k"]: slow_tokens(r["text"]) for r in docs.collect()}
+    assert got == {k: (len(w), 1, len({bucket[t[: mixing.STEM]] for t in w})) for k, w in words.items()}
 
 
 def test_posteriors_against_numpy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = quality_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    model, priors = fit_classifier(docs, labels, DOMAINS)
-    got = {r["id"]: r for r in memberships(docs, model, priors).collect()}
-    hashed = tokens(docs, "text", "doc_id").collect()
+    model, intercepts = fit_classifier(docs, labels, DOMAINS)
+    got = {r["id"]: r for r in memberships(docs, model, intercepts).collect()}
     domain = {r["id"]: DOMAINS.index(r["domain"]) for r in labels.collect()}
-    counts, words = np.zeros((BUCKETS, 3)), {}
-    for r in hashed:
-        if r["bucket"] is not None:
-            words.setdefault(r["doc_id"], []).append(r["bucket"])
-            if r["doc_id"] in domain:
-                counts[r["bucket"], domain[r["doc_id"]]] += 1
-    weight = np.log((counts + 1) / (counts.sum(axis=0) + BUCKETS))
-    weight[counts.sum(axis=1) == 0] = 0
-    share = Counter(domain.values())
-    prior = np.log([(share[k] + 1) / (len(domain) + 3) for k in range(3)])
-    for i, found in words.items():
-        logit = prior + 30 * weight[found].sum(axis=0) / len(found)
+    size, sets = Counter(), {}
+    for r in tokens(docs, "text", "doc_id").collect():
+        size[r["doc_id"]] += r["n"]
+        sets.setdefault(r["doc_id"], set()).update({r["bucket"]} - {None})
+    held = np.zeros((BUCKETS, 3))
+    for i, buckets in sets.items():
+        if i in domain:
+            held[list(buckets), domain[i]] += 1
+    n = np.array([sum(domain.get(i) == k for i in sets) for k in range(3)], float)
+    pooled = (held.sum(axis=1) + 0.5) / (n.sum() + 1)
+    share = (held + mixing.SMOOTH * pooled[:, None]) / (n + mixing.SMOOTH)
+    part = share.max(axis=1) / share.sum(axis=1)
+    telling = (held.sum(axis=1) > 0) & (pooled >= mixing.LEAST_SHARE) & (part >= mixing.LEAST_PART)
+    counts = Counter(domain.values())
+    prior = np.log([(counts[k] + 1) / (len(domain) + 3) for k in range(3)])
+    for i, buckets in sets.items():
+        here = np.isin(np.arange(BUCKETS), list(buckets))
+        odds = np.where(here[:, None], np.log(share / pooled[:, None]), np.log((1 - share) / (1 - pooled[:, None])))
+        logit = prior + odds[telling].sum(axis=0)
         p = np.exp(logit - logit.max())
         assert np.allclose([got[i][f"p_{k}"] for k in range(3)], p / p.sum(), atol=1e-9)
-        assert got[i]["n_tokens"] == len(found)
+        assert got[i]["n_tokens"] == size[i]
 
 
 def solved(a, wanted, least=0.0, steps=4000):
