@@ -16,6 +16,7 @@ from citylake.catalog.views import SOURCE_ORDER, bronze_sources, readings, table
 from citylake.dims import EVENT_TYPES, SENTIMENTS, ZONE_NAMES
 from citylake.functions.numeric import np_round
 from citylake.functions.timegrain import add_time_grain
+from citylake.functions.traffic import service_level
 from citylake.operators.kpi import hour_kpis
 from citylake.operators.quality import first_row, require
 from citylake.operators.upsert import upsert_days
@@ -142,6 +143,7 @@ def _(spark, sf):
 # ---- streams ----------------------------------------------------------------------
 
 _METRICS = ["congestion_factor", "velocidad_kmh"]
+_MODES = {"nivel_servicio": ["A", "B", "C", "D", "E", "F"]}
 
 
 def _landed_stream(spark, path):
@@ -150,13 +152,20 @@ def _landed_stream(spark, path):
 
 @query(
     "stream_hourly",
-    R + "SELECT zona, fecha, hora, count(*) AS n, round_even(avg(congestion_factor), 3) AS congestion_factor, round_even(avg(velocidad_kmh), 3) AS velocidad_kmh FROM r GROUP BY zona, fecha, hora",
+    R
+    + f""", g AS (SELECT *, {o.SERVICE.format(c='congestion_factor - 1')} AS nivel_servicio FROM r),
+    m AS (SELECT zona, fecha, hora, nivel_servicio, row_number() OVER (PARTITION BY zona, fecha, hora ORDER BY count(*) DESC, nivel_servicio) AS rn
+      FROM g WHERE nivel_servicio IS NOT NULL GROUP BY zona, fecha, hora, nivel_servicio)
+    SELECT zona, fecha, hora, count(*) AS n, round_even(avg(congestion_factor), 3) AS congestion_factor, round_even(avg(velocidad_kmh), 3) AS velocidad_kmh,
+    any_value(m.nivel_servicio) AS nivel_servicio FROM g LEFT JOIN (SELECT * FROM m WHERE rn = 1) m USING (zona, fecha, hora) GROUP BY zona, fecha, hora""",
 )
 def _(spark, sf):
+    """Means and the most frequent service level, from counts that later batches can add to."""
     landed, log = _landed(spark, sf), shared_dir(spark, "changes")
-    hourly = st.hourly_stream(_landed_stream(spark, landed), _METRICS)
+    stream = _landed_stream(spark, landed).withColumn("nivel_servicio", service_level(F.col("congestion_factor") - 1))
+    hourly = st.hourly_stream(stream, _METRICS, modes=_MODES)
     st.write_changes(hourly, log, st.checkpoint_path(spark, "hourly"), once=True).awaitTermination()
-    return st.hourly_means(st.read_changes(spark, log, ["zona", "_hour"]), _METRICS)
+    return st.hourly_means(st.read_changes(spark, log, ["zona", "_hour"]), _METRICS, modes=_MODES)
 
 
 @query("stream_dedup", R + "SELECT DISTINCT zona, strftime(ingest_ts, '%Y-%m-%d %H:%M') AS lote FROM r")

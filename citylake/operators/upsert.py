@@ -52,7 +52,7 @@ def upsert_days(fresh: DataFrame, path: str, key: list[str] = GOLD_KEY, common:
         stored = read_or_empty(spark, path, fresh.schema).filter(F.col("fecha").between(first, last))
         newest_wins([stored.join(days, "fecha", "left_semi"), fresh], key, common).write.parquet(f"{stage}/merged")
         merged = spark.read.parquet(f"{stage}/merged")
-        overwrite_days(merged, path, "fecha", ["zona", "hora"])
+        overwrite_days(merged, path, "fecha", [c for c in key if c != "fecha"])
     remove_dir(spark, stage)
 
 

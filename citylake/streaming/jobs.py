@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.window import Window
 
-from citylake.session import shared_dir
+from citylake.operators.upsert import newest_wins, upsert_days
+from citylake.session import remove_dir, shared_dir
+from citylake.sources.readers import read_or_empty
 from citylake.sources.sinks import overwrite_days, with_ingest_partitions, with_lineage
 
 INGEST_EVERY = "5 minutes"
@@ -67,12 +69,16 @@ def deduplicated(stream: DataFrame, key: list[str], lateness: str = LATENESS) ->
     return with_event_time(stream, "_ingest_ts", lateness).dropDuplicatesWithinWatermark(key)
 
 
-def hourly_stream(stream: DataFrame, metrics: list[str], lateness: str = LATENESS) -> DataFrame:
-    """Counts and sums per zone and hour.
+def hourly_stream(
+    stream: DataFrame, metrics: list[str], lateness: str = LATENESS, modes: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """Counts and sums per zone and hour, and for `modes` a count per known value.
 
     Sums instead of means keep the state small and let later batches be merged;
     `hourly_means` turns them into the batch roll-up's columns.
     """
+    modes = modes or {}
+    counts = {f"c_{m}_{i}": F.col(m) == v for m, known in modes.items() for i, v in enumerate(known)}
     hour = F.window("_ingest_ts", "1 hour")
     return (
         with_event_time(stream, "_ingest_ts", lateness)
@@ -81,12 +87,22 @@ def hourly_stream(stream: DataFrame, metrics: list[str], lateness: str = LATENES
             F.count(F.lit(1)).alias("n"),
             *[F.sum(m).alias(f"s_{m}") for m in metrics],
             *[F.count(m).alias(f"n_{m}") for m in metrics],
+            *[F.count_if(when).alias(name) for name, when in counts.items()],
         )
-        .select("zona", F.col("w.start").alias("_hour"), "n", *[f"{p}_{m}" for m in metrics for p in ("s", "n")])
+        .select("zona", F.col("w.start").alias("_hour"), "n", *[f"{p}_{m}" for m in metrics for p in ("s", "n")], *counts)
     )
 
 
-def hourly_means(table: DataFrame, metrics: list[str], digits: int = 3) -> DataFrame:
+def mode_of(column: str, known: list[str]) -> Column:
+    """The value counted most often, the smallest of equals, NULL where none was seen."""
+    ordered = sorted((v, F.col(f"c_{column}_{i}")) for i, v in enumerate(known))
+    most = F.greatest(*[n for _, n in ordered])
+    return F.when(most > 0, F.coalesce(*[F.when(n == most, F.lit(v)) for v, n in ordered]))
+
+
+def hourly_means(
+    table: DataFrame, metrics: list[str], digits: int = 3, modes: dict[str, list[str]] | None = None
+) -> DataFrame:
     from citylake.functions.numeric import np_round
 
     return table.select(
@@ -95,6 +111,7 @@ def hourly_means(table: DataFrame, metrics: list[str], digits: int = 3) -> DataF
         F.hour("_hour").alias("hora"),
         "n",
         *[np_round(F.try_divide(F.col(f"s_{m}"), F.col(f"n_{m}")), digits).alias(m) for m in metrics],
+        *[mode_of(m, known).alias(m) for m, known in (modes or {}).items()],
     )
 
 
@@ -119,6 +136,32 @@ def read_changes(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
     return log.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "epoch")
 
 
+def fold_closed(spark: SparkSession, path: str, table: str, key: list[str], hours: int = 24) -> None:
+    """Move hours that the watermark has closed out of a change log into a table by day.
+
+    The newest version of every closed hour is merged into the table first; then log
+    folders that hold closed hours only are removed. Doing it again, or after a failure in
+    between, changes nothing, and the log stays as long as the lateness.
+    """
+    log = spark.read.parquet(path)
+    newest = log.agg(F.max("_hour")).first()[0]
+    if newest is None:
+        return
+    cutoff = newest - timedelta(hours=hours)
+    closed = read_changes(spark, path, key).filter(F.col("_hour") < F.lit(cutoff))
+    upsert_days(closed.withColumn("fecha", F.to_date("_hour")), table, key)
+    # One row per batch that is still kept.
+    for row in log.groupBy("epoch").agg(F.max("_hour").alias("last")).filter(F.col("last") < F.lit(cutoff)).collect():
+        remove_dir(spark, f"{path}/epoch={row.epoch}")
+
+
+def read_folded(spark: SparkSession, path: str, table: str, key: list[str]) -> DataFrame:
+    """Newest version of every key over the folded days and the log; the log wins."""
+    log = read_changes(spark, path, key)
+    stored = read_or_empty(spark, table, log.schema)
+    return newest_wins([stored.select(*log.columns), log], key)
+
+
 def refresh_days(
     stream: DataFrame,
     bronze_path: str,

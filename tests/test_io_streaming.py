@@ -107,6 +107,22 @@ def test_stream_equals_batch_over_several_batches(spark):
     assert values(got, "zona", "fecha", "hora", "n", "v") == values(batch, "zona", "fecha", "hora", "n", "v")
 
 
+def test_closed_hours_leave_the_log(spark):
+    """Folding keeps every hour, empties the log of closed ones, and may run twice."""
+    landed, log, check, table = (shared_dir(spark, n) for n in ("t-in", "t-log", "t-check", "t-folded"))
+    key, schema = ["zona", "_hour"], "zona string, _ingest_ts timestamp, v double"
+    for day in (20, 21, 25):
+        readings(spark, [("a", stamp(day, 10), float(day)), ("b", stamp(day, 11), 1.0)]).coalesce(1).write.mode("append").parquet(landed)
+        hourly = st.hourly_stream(st.landed_stream(spark, landed, schema), ["v"])
+        st.write_changes(hourly, log, check, once=True).awaitTermination()
+    before = values(st.read_changes(spark, log, key), "zona", "_hour", "s_v")
+    for _ in range(2):
+        st.fold_closed(spark, log, table, key)
+        assert values(st.read_folded(spark, log, table, key), "zona", "_hour", "s_v") == before
+    assert {r[0] for r in values(spark.read.parquet(log), "_hour")} == {stamp(25, 10), stamp(25, 11)}
+    assert len(before) == 6
+
+
 def test_late_rows_beyond_a_day_are_ignored(spark):
     landed, log, check = (shared_dir(spark, n) for n in ("t-in", "t-log", "t-check"))
     for data in ([("a", stamp(20, 10), 1.0)], [("a", stamp(25, 10), 2.0)], [("a", stamp(20, 10, 5), 3.0), ("a", stamp(25, 9), 4.0)]):
