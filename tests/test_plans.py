@@ -48,3 +48,33 @@ def test_gold_scans_only_needed_columns(spark, sf_dir):
 def test_ties_are_filtered_where_they_are(spark, sf_dir):
     text = plan(top_with_ties(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_size", 3))
     assert "Window" not in text and "TakeOrderedAndProject" in text
+
+
+def executed(df) -> str:
+    """The final plan of a query that ran."""
+    running = df._jdf.queryExecution()
+    running.executedPlan().executeCollectPublic()
+    return running.executedPlan().toString()
+
+
+def test_value_counts_scan_once(spark, sf_dir):
+    from citylake.operators.profile import value_counts
+
+    text = executed(value_counts(table(spark, sf_dir, "orders"), "o_orderpriority"))
+    assert "ReusedExchange" in text
+
+
+def test_newest_values_stay_in_hash_tables(spark, sf_dir):
+    from citylake.operators.kpi import zone_kpis
+
+    base = gold(spark, sf_dir)
+    text = plan(zone_kpis(base, latest_speed=True))
+    assert "max_by(velocidad_kmh" in text
+    assert text.count("SortAggregate") == plan(base.select("zona", "velocidad_kmh")).count("SortAggregate")
+
+
+def test_strongest_events_are_limited_before_the_shuffle(spark, sf_dir):
+    from citylake.operators.rollup import strongest_events
+
+    text = plan(strongest_events(cleaned(spark, sf_dir, "eventos")["eventos"]))
+    assert "SortAggregate" not in text and text.count("WindowGroupLimit") >= 4
