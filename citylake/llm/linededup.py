@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citylake.llm.common import staged
 
@@ -115,6 +116,5 @@ def remove_repeated_lines(
                 [*columns, pa.array(removed, pa.int32())], [*schema.names, "lines_removed"]
             )
 
-    from pyspark.sql import types as T
-
-    return marked.mapInArrow(run, T.StructType([*schema.fields, T.StructField("lines_removed", T.IntegerType())]))
+    lost = T.StructField("lines_removed", T.IntegerType())
+    return marked.mapInArrow(run, T.StructType([*schema.fields, lost]))

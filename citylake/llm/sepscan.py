@@ -94,7 +94,7 @@ def scan_block(ids: np.ndarray, end: int) -> tuple[int, list[int]]:
     ends = np.flatnonzero(ids == end)
     if not len(ends):
         return len(ids), []
-    return len(ids) - int(ends[-1]) - 1, np.diff(ends, prepend=-1).__sub__(1).tolist()
+    return len(ids) - int(ends[-1]) - 1, (np.diff(ends, prepend=-1) - 1).tolist()
 
 
 def block_scan(spark: SparkSession, folder: str, block_tokens: int, end: int) -> DataFrame:
@@ -210,6 +210,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, block_tokens: int = B
     folder = shared_dir(docs.sparkSession, "token-files")
     manifest = write_token_files(docs, folder, path)
     if not manifest.head(1):
-        return manifest.select("doc_id", "file", "ordinal", F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("n_tokens"))
+        none = F.lit(0).cast("long")
+        return manifest.select("doc_id", "file", "ordinal", none.alias("start"), none.alias("n_tokens"))
     found = documents_in(docs.sparkSession, folder, block_tokens)
     return manifest.join(found, ["file", "ordinal"]).select("doc_id", "file", "ordinal", "start", "n_tokens")
