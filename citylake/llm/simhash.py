@@ -177,9 +177,12 @@ def near_duplicates(
     return prints.join(of_fp, "fp").select("doc_id", "row", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of each component: that of the smallest doc_id (ties: of the smallest text hash)."""
-    found = staged(near_duplicates(docs, id_col, text_col, **options), "simhash-found")
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", find=near_duplicates, **options
+) -> DataFrame:
+    """One row of each component that `find` gives: that of the smallest doc_id (ties: of the
+    smallest text hash)."""
+    found = staged(find(docs, id_col, text_col, **options), "simhash-found")
     chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = staged(
         chosen.groupBy("root", "component_id")
