@@ -14,7 +14,7 @@ from citylake.llm.linededup import remove_repeated_lines
 from citylake.llm.mixing import DOMAINS, mix, quality_domains
 from citylake.llm.sepscan import count_tokens
 from citylake.llm.simhash import hex_digits, near_duplicates
-from citylake.llm import langid, toxicity
+from citylake.llm import langid, runs, toxicity
 from citylake.llm.topk import top_k_of_embeddings
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -127,3 +127,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_separator_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens")
+
+
+@query("op13_periodic_runs_ntt")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs.digests(runs.planted(docs))
