@@ -14,7 +14,7 @@ from citylake.llm.linededup import remove_repeated_lines
 from citylake.llm.mixing import DOMAINS, mix, quality_domains
 from citylake.llm.sepscan import count_tokens
 from citylake.llm.simhash import hex_digits, near_duplicates
-from citylake.llm import langid, runs, toxicity
+from citylake.llm import langid, runs, secrets, toxicity
 from citylake.llm.topk import top_k_of_embeddings
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -133,3 +133,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return runs.digests(runs.planted(docs))
+
+
+@query("op12_windowed_entropy_secrets")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
