@@ -89,21 +89,21 @@ def windowed_entropy(text: Column, window: int = WINDOW) -> Column:
     steps = [0 if not c else round(SCALE * c * math.log2(c)) for c in range(window + 1)]
     # growth[c]: change of the sum of c * log2(c) when a count grows from c to c + 1
     growth = F.array(*[F.lit(b - a).cast("long") for a, b in zip(steps, steps[1:], strict=False)])
-    chars = F.split(text, "")
-
-    def slide(state: Column, i: Column) -> Column:
-        enters, leaves = F.get(chars, i), F.get(chars, i - window)
-        shared = F.slice(chars, F.greatest(i - window + 2, F.lit(1)), F.least(i, F.lit(window - 1)))
-        less = F.when(i >= window, F.get(growth, F.size(F.filter(shared, lambda c: c == leaves)))).otherwise(0)
-        total = state["total"] - less + F.get(growth, F.size(F.filter(shared, lambda c: c == enters)))
-        return F.struct(
-            total.alias("total"),
-            F.when(i >= window - 1, F.least(state["least"], total)).otherwise(state["least"]).alias("least"),
-        )
-
-    start = F.struct(F.lit(0).cast("long").alias("total"), F.lit(None).cast("long").alias("least"))
-    places = F.sequence(F.lit(0), F.size(chars) - 1)
-    least = F.aggregate(places, start, slide, lambda state: state["least"])
+
+    def least_total(chars: Column) -> Column:
+        def slide(state: Column, i: Column) -> Column:
+            enters, leaves = F.get(chars, i), F.get(chars, i - window)
+            shared = F.slice(chars, F.greatest(i - window + 2, F.lit(1)), F.least(i, F.lit(window - 1)))
+            less = F.when(i >= window, F.get(growth, F.size(F.filter(shared, lambda c: c == leaves)))).otherwise(0)
+            total = state["total"] - less + F.get(growth, F.size(F.filter(shared, lambda c: c == enters)))
+            least = F.when(i >= window - 1, F.least(state["least"], total)).otherwise(state["least"])
+            return F.struct(total.alias("total"), least.alias("least"))
+
+        start = F.struct(F.lit(0).cast("long").alias("total"), F.lit(None).cast("long").alias("least"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, slide, lambda state: state["least"])
+
+    # a lambda variable holds the characters, so they are split once, not at every step
+    least = F.get(F.transform(F.array(F.split(text, "")), least_total), F.lit(0))
     return F.lit(math.log2(window)) - least / float(SCALE * window)
 
 
