@@ -14,7 +14,7 @@ from citylake.llm.linededup import remove_repeated_lines
 from citylake.llm.mixing import DOMAINS, mix, quality_domains
 from citylake.llm.sepscan import count_tokens
 from citylake.llm.simhash import hex_digits, near_duplicates
-from citylake.llm import langid, runs, secrets, toxicity
+from citylake.llm import langid, repair, runs, secrets, toxicity
 from citylake.llm.topk import top_k_of_embeddings
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -138,3 +138,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_windowed_entropy_secrets")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op11_survivor_viterbi_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(table(spark, sf_dir, "conversations"))
