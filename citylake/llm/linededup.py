@@ -1,16 +1,17 @@
 """Line de-duplication over overlapping windows of three lines.
 
-Every three consecutive lines are hashed (two independent 64-bit hashes). Hashes found
-more than once anywhere are joined back to the windows; each occurrence but the first (by
-doc_id, then position) covers its three lines, overlapping covers merge, and covered lines
-are removed. A removed line always has an equal line earlier in the order that stays.
-
-Cases. Null text stays null; a text of fewer than three lines has no window and stays as
-it is; windows of blank lines only do not count. A text whose lines are all covered
-becomes empty. Null ids come after all others. Rows that share an id are one place: only
-repeats inside one of them count as later there, and equal rows get equal results. Very
-long texts are read whole. All columns are kept; a column `lines_removed` is added, or
-replaced where there is one.
+Every three consecutive lines are hashed (two independent 64-bit hashes). An empty line is
+put before and after each text for that, so first and last lines and texts of one or two
+lines have windows too. Hashes found more than once anywhere are joined back to the
+windows; each occurrence but the first (by doc_id, text hash, then position) covers its
+lines, overlapping covers merge, and covered lines are removed. A removed line always has
+an equal line earlier in the order that stays.
+
+Cases. Null text stays null; windows of blank lines only do not count. A text whose lines
+are all covered becomes empty. Null ids come after all others. Different texts of one id,
+or of null ids, are different places, by the hash of the text; rows equal in id and text
+are one place and get equal results. Very long texts are read whole. All columns are kept;
+a column `lines_removed` is added, or replaced where there is one.
 """
 
 from __future__ import annotations
@@ -30,8 +31,9 @@ BLANK = " \t\r\x0b\x0c"
 
 
 def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, row, pos, h1, h2) of every window with a line that is not blank."""
-    lines = F.col("lines")
+    """(doc, row, pos, h1, h2) of every window with a line that is not blank; window 0 starts
+    at the empty line before the text."""
+    lines, edge = F.col("lines"), F.array(F.lit(""))
 
     def hashed(first, pos):
         group = [first] + [F.get(lines, pos + k) for k in range(1, WIDTH)]
@@ -48,9 +50,9 @@ def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         docs.select(
             F.col(id_col).alias("doc"),
             F.xxhash64(text_col).alias("row"),
-            F.split(text_col, "\n", -1).alias("lines"),
+            F.concat(edge, F.split(text_col, "\n", -1), edge).alias("lines"),
         )
-        .filter(F.size("lines") >= WIDTH)
+        .filter(F.col("lines").isNotNull())
         .select(
             "doc",
             "row",
@@ -64,16 +66,18 @@ def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, row, starts): the positions of windows that occurred before."""
     every = windows(docs, id_col, text_col)
+    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
     repeated = staged(
         every.groupBy("h1", "h2")
-        .agg(F.count("*").alias("n"), F.min("doc").alias("first"))
+        .agg(F.count("*").alias("n"), F.min(place).alias("first"))
         .filter("n > 1")
         .select("h1", "h2", "first"),
         "line-windows",
     )
     found = every.join(repeated, ["h1", "h2"]).select(
-        "doc", "row", "h1", "h2", "pos", (~F.col("doc").eqNullSafe(F.col("first"))).alias("later")
+        "doc", "row", "h1", "h2", "pos", (place != F.col("first")).alias("later")
     )
+    found = found.distinct()  # equal rows are one place
     inside = Window.partitionBy("doc", "row", "h1", "h2").orderBy("pos")
     return (
         found.repartition("doc", "row")
@@ -106,9 +110,10 @@ def remove_repeated_lines(
             for i, found in enumerate(starts.to_pylist()):
                 if found:
                     lines = texts[i].split("\n")
-                    covered = np.zeros(len(lines), bool)
+                    covered = np.zeros(len(lines) + 2, bool)
                     for k in range(WIDTH):
                         covered[np.array(found) + k] = True
+                    covered = covered[1:-1]
                     texts[i] = "\n".join(x for x, c in zip(lines, covered.tolist(), strict=True) if not c)
                     removed[i] = int(covered.sum())
             columns[at] = pa.array(texts, columns[at].type)

@@ -53,20 +53,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op3_nra_topk",
     """
     WITH v AS (
-        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+        SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
         FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), s AS (
-        SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+        SELECT q.row AS query_row, q.vec_id AS query_id, c.vec_id AS vec_id,
                CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
-        FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+        FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.row <> c.row
     )
     SELECT query_id,
-           CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           CAST(row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
            vec_id, score
     FROM s
-    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+    QUALIFY row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) <= 10
     """,
 )
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,21 +99,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op6_line_window_dedup",
     r"""
-    WITH d AS (SELECT doc_id, text, str_split(text, chr(10)) AS lines FROM documents),
-    w AS (SELECT doc_id, lines, unnest(range(len(lines) - 2)) AS pos FROM d WHERE len(lines) >= 3),
+    WITH d AS (
+        SELECT doc_id, text, str_split(text, chr(10)) AS lines,
+               list_concat([''], str_split(text, chr(10)), ['']) AS framed
+        FROM documents
+    ),
+    w AS (SELECT doc_id, framed, unnest(range(len(framed) - 2)) AS pos FROM d WHERE text IS NOT NULL),
     k AS (
         SELECT doc_id, pos, row_number() OVER (
-            PARTITION BY lines[pos + 1], lines[pos + 2], lines[pos + 3] ORDER BY doc_id, pos) AS nth
+            PARTITION BY framed[pos + 1], framed[pos + 2], framed[pos + 3] ORDER BY doc_id, pos) AS nth
         FROM w
-        WHERE regexp_matches(concat(lines[pos + 1], lines[pos + 2], lines[pos + 3]), '[^ \t\r\x0b\x0c]')
+        WHERE regexp_matches(concat(framed[pos + 1], framed[pos + 2], framed[pos + 3]), '[^ \t\r\x0b\x0c]')
     ), covered AS (
-        SELECT DISTINCT doc_id, pos + unnest([0, 1, 2]) AS pos FROM k WHERE nth > 1
+        SELECT DISTINCT doc_id, pos + unnest([-1, 0, 1]) AS pos FROM k WHERE nth > 1
     ), l AS (
         SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d
     ), kept AS (
         SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text
         FROM l ANTI JOIN covered USING (doc_id, pos) GROUP BY doc_id
-    ), lost AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id)
+    ), lost AS (SELECT doc_id, count(*) AS n FROM covered SEMI JOIN l USING (doc_id, pos) GROUP BY doc_id)
     SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text,
            CAST(coalesce(lost.n, 0) AS INTEGER) AS lines_removed
     FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)

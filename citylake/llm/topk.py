@@ -8,8 +8,13 @@ current value bounds the contribution from above and its last value from below.
 every query, only a few vectors can still reach its k-th best lower bound, reading stops
 and their scores are resolved. All queries of a tile advance in one matrix product.
 
+Vectors and queries meet on a grid: a block of vectors goes to every tile of queries once. A
+tile holds as many queries as fit TILE_CELLS numbers and is worked off in parts of PART
+queries, so vectors are copied once per some ten thousand queries.
+
 Cases. Vectors that are null or hold a null or non-finite component, and rows with a null
-id, take no part. Rows that repeat an id count once, with the smallest vector. A missing
+id, take no part. Rows that repeat an id are candidates each, and a query row is met by
+every row but itself; each of several query rows of one id has its own list. A missing
 component counts as zero. Ties go to the smaller id. An empty table gives no rows; with
 fewer than k candidates all are returned. Other columns are ignored. Scores are exact
 while they fit a long.
@@ -27,7 +32,8 @@ from citylake.llm.common import staged
 SCALE = 1024
 BLOCK = 8192
 LEAST_BLOCK = 512
-TILE = 1024
+TILE_CELLS = 1 << 22
+PART = 1024
 SURVIVORS = 64
 EXACT = float(1 << 53)
 
@@ -54,9 +60,16 @@ def matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 def block_topk(
-    ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, survivors: int = SURVIVORS
+    keys: np.ndarray,
+    ids: np.ndarray,
+    x: np.ndarray,
+    query_keys: np.ndarray,
+    q: np.ndarray,
+    k: int,
+    survivors: int = SURVIVORS,
 ) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, positions, scores) of the k best rows of `x` for each row of `q`."""
+    """(query, positions, scores) of the k best rows of `x` for each row of `q`, without the
+    row of the query's own key."""
     n, width = x.shape
     exact = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * width < EXACT
     kind = np.float64 if exact else np.int64
@@ -82,7 +95,7 @@ def block_topk(
         unread_down, unread_up = (~seen_down).astype(kind), (~seen_up).astype(kind)
         upper = known + unread_down @ (p * front_down[:, None]) + unread_up @ (m * front_up[:, None])
         lower = known + unread_down @ (p * lowest[:, None]) + unread_up @ (m * highest[:, None])
-        own = ids[:, None] == query_ids[open_queries][None, :]
+        own = keys[:, None] == query_keys[open_queries][None, :]
         lower[own] = none
         upper[own] = none
         bar = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(lower.shape[1], none)
@@ -102,24 +115,27 @@ def top_k(
     queries: DataFrame,
     k: int = 10,
     block: int = BLOCK,
-    tile: int = TILE,
+    tile: int | None = None,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score) for `queries` (vec_id, x) over `vectors` (vec_id, x).
+    """(query_id, rank, vec_id, score) for `queries` over `vectors`, both (key, vec_id, x) with
+    integer vectors; a query meets all vectors but that of its own key.
 
-    Both hold integer vectors. Blocks of vectors meet tiles of queries on a grid key, so
-    each task holds one block and one tile whatever the number of rows; from a block only
+    Each task holds one block and one tile whatever the number of rows; from a block only
     its k best per query leave.
     """
     spark = vectors.sparkSession
-    n_vectors, n_queries = vectors.count(), queries.count()
+    n_vectors, width = vectors.agg(F.count("*"), F.coalesce(F.max(F.size("x")), F.lit(1))).first()
+    n_queries = queries.count()
+    tile = tile or max(PART, TILE_CELLS // max(width, 1))
     tiles = max(1, -(-n_queries // tile))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(1, -(-n_vectors // block), min(tasks, -(-n_vectors // LEAST_BLOCK)))
 
     def dealt(rows: DataFrame, own: str, parts: int, other: str, copies: int) -> DataFrame:
         return rows.select(
-            F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias(own),
+            F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other),
+            "key",
             "vec_id",
             "x",
         )
@@ -128,19 +144,22 @@ def top_k(
     right = dealt(queries, "tile", tiles, "block", blocks).groupBy("block", "tile")
 
     def search(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        columns = {"query_id": [], "vec_id": [], "score": []}
+        columns = {"query_key": [], "query_id": [], "vec_id": [], "score": []}
         if len(rows) and len(asked):
             width = max(rows["x"].map(len).max(), asked["x"].map(len).max())
-            ids, query_ids = rows["vec_id"].to_numpy(), asked["vec_id"].to_numpy()
-            x, q = matrix(rows["x"], width), matrix(asked["x"], width)
-            for c, who, scores in block_topk(ids, x, query_ids, q, k):
-                columns["query_id"] += [int(query_ids[c])] * len(who)
-                columns["vec_id"] += ids[who].tolist()
-                columns["score"] += scores.tolist()
+            keys, ids, x = rows["key"].to_numpy(), rows["vec_id"].to_numpy(), matrix(rows["x"], width)
+            for at in range(0, len(asked), PART):
+                part = asked.iloc[at : at + PART]
+                query_keys, query_ids = part["key"].to_numpy(), part["vec_id"].to_numpy()
+                for c, who, scores in block_topk(keys, ids, x, query_keys, matrix(part["x"], width), k):
+                    columns["query_key"] += [int(query_keys[c])] * len(who)
+                    columns["query_id"] += [int(query_ids[c])] * len(who)
+                    columns["vec_id"] += ids[who].tolist()
+                    columns["score"] += scores.tolist()
         return pd.DataFrame({name: np.array(c, np.int64) for name, c in columns.items()})
 
-    found = left.cogroup(right).applyInPandas(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    found = left.cogroup(right).applyInPandas(search, "query_key long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("query_key").orderBy(F.desc("score"), F.asc("vec_id"))
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
@@ -155,7 +174,7 @@ def top_k_of_embeddings(
     rows = (
         embeddings.select(F.col("vec_id").cast("long"), F.col("embedding"))
         .filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-        .select("vec_id", scaled(F.col("embedding"), scale).alias("x"))
+        .select(F.monotonically_increasing_id().alias("key"), "vec_id", scaled(F.col("embedding"), scale).alias("x"))
     )
-    rows = staged(rows.groupBy("vec_id").agg(F.min("x").alias("x")), "topk-vectors")
+    rows = staged(rows, "topk-vectors")
     return top_k(rows, rows.filter(is_query), k)

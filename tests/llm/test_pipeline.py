@@ -7,7 +7,7 @@ import corpus_pipeline
 from citylake.llm import langid, mixing
 from tests.llm.helpers import awkward, clashing, empty
 from tests.llm.test_linededup import slow as slow_lines
-from tests.llm.test_simhash import slow_components, slow_fingerprint
+from tests.llm.test_neardup import slow_groups
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +32,7 @@ def test_names_and_columns(stages):
 def test_language_drops_only_what_it_rejects(stages):
     before, after = stages[0]
     model = langid.train(before, "doc_id", "text", "lang")
-    want = {r["doc_id"] for r in before.collect() if (lambda p: p[0] != "und" and p[1] >= 0.25)(langid.predict(model, r["text"]))}
+    want = {r["doc_id"] for r in before.collect() if langid.predict(model, r["text"])[0] != "und"}
     assert {r["doc_id"] for r in after.collect()} == want
 
 
@@ -48,7 +48,7 @@ def test_lines_as_brute_force(stages):
 def test_one_document_of_each_group(stages):
     before, after = stages[2]
     rows = before.orderBy("doc_id").collect()
-    roots = slow_components([slow_fingerprint(r["text"]) for r in rows])
+    roots = slow_groups([r["text"] for r in rows])
     want = {rows[i]["doc_id"] for i in set(roots)}
     got = [r["doc_id"] for r in after.collect()]
     assert sorted(got) == sorted(want) and len(want) < len(rows)
@@ -76,6 +76,6 @@ def test_stages_survive_awkward_rows(spark, sf_dir, rows):
         assert out.columns == docs.columns
         out.collect()
     kept = corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()
-    roots = slow_components([slow_fingerprint(r["text"]) for r in docs.collect()])
+    roots = slow_groups([r["text"] for r in docs.collect()])
     assert len(kept) == len(set(roots))
     corpus_pipeline.encode(spark, docs, sf_dir).collect()
