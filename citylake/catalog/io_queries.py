@@ -285,6 +285,12 @@ def _(spark, sf):
 # ---- composite jobs -----------------------------------------------------------------
 
 _REFERENCE = 99.0
+#: As-of time and lookback in hours of three overlapping refreshes.
+_RUNS = [
+    (datetime.datetime(2024, 1, 12, 23), 24 * 12),
+    (datetime.datetime(2024, 1, 15, 23), 24 * 4),
+    (datetime.datetime(2024, 2, 1, 23), 24 * 18),
+]
 
 
 def _landed_sources(spark, sf):
@@ -306,12 +312,7 @@ def _(spark, sf):
     from citylake.plans.jobs import refresh_gold
 
     bronze, out = _landed_sources(spark, sf), shared_dir(spark, "gold")
-    runs = [
-        (datetime.datetime(2024, 1, 12, 23), 24 * 12),
-        (datetime.datetime(2024, 1, 15, 23), 24 * 4),
-        (datetime.datetime(2024, 2, 1, 23), 24 * 18),
-    ]
-    for as_of, hours in runs:
+    for as_of, hours in _RUNS:
         table_ = refresh_gold(
             spark, bronze, out, list(SOURCE_ORDER), as_of, _REFERENCE, hours,
             order=SOURCE_ORDER, storage=False, extra="event_id long, doc_id long",
@@ -331,21 +332,21 @@ def _(spark, sf):
     return build_gold(cleaned(spark, sf), shared_dir(spark, "gold"), storage=False)
 
 
-def _long_sql(table_: str, source: str, key: str, numbers: list[str], texts: list[str] = ()) -> str:
+def _long_sql(table_: str, source: str, key: str, numbers: list[str], texts: list[str] = (), digits: int = 9) -> str:
     """A table as rows (tabla, clave, metrica, texto, numero); numbers to nine digits."""
     head = f"SELECT '{table_}' AS tabla, CAST({key} AS VARCHAR) AS clave"
-    parts = [f"{head}, '{c}' AS metrica, CAST(NULL AS VARCHAR) AS texto, round_even(CAST({c} AS DOUBLE), 9) AS numero FROM {source}" for c in numbers]
+    parts = [f"{head}, '{c}' AS metrica, CAST(NULL AS VARCHAR) AS texto, round_even(CAST({c} AS DOUBLE), {digits}) AS numero FROM {source}" for c in numbers]
     parts += [f"{head}, '{c}' AS metrica, {c} AS texto, CAST(NULL AS DOUBLE) AS numero FROM {source}" for c in texts]
     return " UNION ALL ".join(parts)
 
 
-def _long(df, table_: str, key, numbers: list[str], texts: list[str] = ()):
+def _long(df, table_: str, key, numbers: list[str], texts: list[str] = (), digits: int = 9):
     none = {"texto": F.lit(None).cast("string"), "numero": F.lit(None).cast("double")}
 
     def cell(c: str, **value):
         return F.struct(F.lit(c).alias("metrica"), *[(none | value)[n].alias(n) for n in none])
 
-    cells = [cell(c, numero=np_round(F.col(c).cast("double"), 9)) for c in numbers]
+    cells = [cell(c, numero=np_round(F.col(c).cast("double"), digits)) for c in numbers]
     cells += [cell(c, texto=F.col(c)) for c in texts]
     return df.select(F.lit(table_).alias("tabla"), key.cast("string").alias("clave"), F.inline(F.array(*cells)))
 
@@ -397,6 +398,36 @@ def _(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+_INCREMENTAL = {t: v for t, v in _EXPORTED.items() if t != "kpi_ml_resultados"}
+
+
+@query(
+    "kpi_incremental",
+    o.ctes(
+        o.GOLD.replace("(SELECT max(total_vehiculos_zona) FROM gold0) AS cam_max", f"{_REFERENCE}::DOUBLE AS cam_max"),
+        o.LATEST, o.KPI_GLOBAL, o.KPI_ZONE, o.KPI_HOUR, o.KPI_COMPOSITION,
+        "kz AS (SELECT k.*, l.velocidad_kmh AS vel_ultima FROM kpi_zone k JOIN latest l USING (zona))",
+        f"kz_long AS ({KPI_LONG_SQL})",
+    )
+    + " UNION ALL ".join(_long_sql(t, src, key, n, x) for t, (src, key, _, n, x) in _INCREMENTAL.items()),
+)
+def _(spark, sf):
+    """Three overlapping refreshes, each adding up sums per day; the export of the last one."""
+    from citylake.plans.jobs import kpi_tables_of, refresh_gold
+
+    bronze, out, path = _landed_sources(spark, sf), shared_dir(spark, "gold"), shared_dir(spark, "kpis")
+    for as_of, hours in _RUNS:
+        refresh_gold(
+            spark, bronze, out, list(SOURCE_ORDER), as_of, _REFERENCE, hours,
+            order=SOURCE_ORDER, storage=False, extra="event_id long, doc_id long", kpis=path,
+        )
+    schemas = {n: t.schema for n, t in kpi_tables_of(spark.read.parquet(f"{out}/kpi_parciales")).items()}
+    parts = [
+        _long(rd.read_csv(spark, f"{path}/{t}", schemas[t]), t, F.expr(key), n, x) for t, (_, _, key, n, x) in _INCREMENTAL.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 _LEARNED = [f"{p}_{m}" for m in PROFILE_METRICS for p in ("mean", "std")]
 _PROFILE_CTES = [
     "m AS (SELECT max(fecha) AS f FROM gold)",
@@ -458,3 +489,28 @@ def _(spark, sf):
     write_profiles(learned, path)
     read = [_long(spark.read.parquet(f"{path}/{t}"), t, F.expr(key), n) for t, (_, key, n) in _PROFILES.items()]
     return reduce(DataFrame.unionByName, read)
+
+
+_WINDOWS = [datetime.date(2024, 1, 14), datetime.date(2024, 1, 21), datetime.date(2024, 1, 30)]
+_FROM_GOLD = {t: _PROFILES[t] for t in ("perfil_hora", "factor_dia", "prob_nivel")}
+
+
+def _window_sql(end: datetime.date) -> str:
+    near = f"p AS (SELECT * FROM gold WHERE fecha BETWEEN DATE '{end}' - 7 AND DATE '{end}')"
+    rows = " UNION ALL ".join(_long_sql(t, src, "k", n, digits=6) for t, (src, _, n) in _FROM_GOLD.items())
+    return f"SELECT '{end}' AS ventana, * FROM ({o.ctes(near, *_PROFILE_CTES[2:12])} {rows})"
+
+
+@query("profile_sliding", o.ctes(o.GOLD) + " UNION ALL ".join(_window_sql(end) for end in _WINDOWS))
+def _(spark, sf):
+    """Profiles of three windows from the moments of one scan of gold."""
+    from citylake.catalog.products import gold
+    from citylake.plans.jobs import refresh_moments, sliding_profiles
+
+    path = shared_dir(spark, "moments")
+    refresh_moments(gold(spark, sf), path)
+    moments, parts = spark.read.parquet(path), []
+    for end in _WINDOWS:
+        learned = sliding_profiles(moments, end)
+        parts += [_long(learned[t], t, F.expr(key), n, digits=6).withColumn("ventana", F.lit(str(end))) for t, (_, key, n) in _FROM_GOLD.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -11,6 +11,7 @@ from citylake.catalog import oracle as o
 from citylake.catalog.products import gold
 from citylake.catalog.registry import ORACLES, query
 from citylake.catalog.views import table
+from citylake.dims import LEVEL_COLOR
 from citylake.functions.numeric import np_round
 from citylake.ml import evaluate as ev
 from citylake.ml import models as md
@@ -126,6 +127,37 @@ def _(spark, sf):
     return ev.confusion(_rule_predictions(spark, sf), "y", 3)
 
 
+#: One-vs-rest scores of the rule: the higher, the more it speaks for the class.
+_CLASS_SCORES = {"bajo": "-{x}", "medio": "-abs({x} - 1.425)", "alto": "{x}"}
+
+
+@query(
+    "model_auc",
+    o.ctes(
+        o.GOLD,
+        "notas AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS clase, nivel_congestion = '{c}' AS y, {e.format(x='indice_congestion').replace('1.425', '1.425::DOUBLE')} AS s FROM gold"
+            for c, e in _CLASS_SCORES.items()
+        )
+        + " UNION ALL SELECT 'lluvia', lluvia_flag = 1, humedad_pct FROM gold)",
+        "ordenado AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY clase, s) - 1) / 2.0::DOUBLE AS rango FROM notas WHERE s IS NOT NULL AND y IS NOT NULL WINDOW w AS (PARTITION BY clase ORDER BY s))",
+        "areas AS (SELECT clase, count(*) FILTER (WHERE y) AS n_pos, count(*) FILTER (WHERE NOT y) AS n_neg, sum(rango) FILTER (WHERE y) AS rangos FROM ordenado GROUP BY clase)",
+    )
+    + "SELECT clase, n_pos, n_neg, round_even((rangos - n_pos * (n_pos + 1) / 2.0::DOUBLE) / nullif(n_pos * n_neg, 0), 9) AS auc FROM areas",
+)
+def _(spark, sf):
+    """Exact areas under ROC: the index against each level, and humidity against rain."""
+    rows = training_rows(spark, sf)
+    scores = [
+        F.struct(F.lit(c).alias("clase"), F.expr(e.format(x="indice_congestion")).alias("s"), (F.col(TARGET) == c).alias("y"))
+        for c, e in _CLASS_SCORES.items()
+    ]
+    scores.append(F.struct(F.lit("lluvia").alias("clase"), F.col("humedad_pct").alias("s"), (F.col("lluvia_flag") == 1).alias("y")))
+    auc = ev.exact_auc(rows.select(F.inline(F.array(*scores))), "s", "y", "clase")
+    return auc.withColumn("auc", np_round("auc", 9))
+
+
 SCORE_CTES = [
     "k AS (SELECT c, (SELECT count(*) FROM p WHERE y = c) AS sup, (SELECT count(*) FROM p WHERE g = c) AS said, (SELECT count(*) FROM p WHERE y = c AND g = c) AS hit FROM (SELECT unnest(range(3)) AS c))",
     "w AS (SELECT *, coalesce(hit / nullif(said, 0), 0) AS pr, coalesce(hit / nullif(sup, 0), 0) AS re FROM k)",
@@ -206,6 +238,21 @@ def _(spark, sf):
     return measures.best_model(compared(spark, sf)[0])
 
 
+@query("best_model_rules", "SELECT TRUE AS es_de_la_lista, TRUE AS es_el_maximo, TRUE AS color_segun_f1")
+def _(spark, sf):
+    """What the card must show whatever was learned: one of the nine, the largest F1, the colour of its band."""
+    results = compared(spark, sf)[0]
+    top = results.agg(F.max("F1_score")).scalar()
+    ties = results.filter(F.col("F1_score") == top).agg(F.count(F.lit(1))).scalar()
+    f1 = F.col("mejor_f1")
+    band = F.when(f1 >= 0.88, 0).when(f1 >= 0.85, 1).otherwise(2)
+    shown = F.array_position(F.array(*[F.lit(LEVEL_COLOR[c]) for c in ("bajo", "medio", "alto")]), F.col("color_ml")) - 1
+    named = F.col("mejor_modelo").isin(_POOL) | (F.col("mejor_modelo").isNull() & (ties > 1))
+    return measures.best_model(results).select(
+        named.alias("es_de_la_lista"), (f1 == top).alias("es_el_maximo"), (shown == band).alias("color_segun_f1")
+    )
+
+
 @query("batch_inference")
 def _(spark, sf):
     """Train, save, load and relabel: unscorable rows keep the rule label."""

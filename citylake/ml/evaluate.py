@@ -8,10 +8,13 @@ from functools import reduce
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from citylake.functions.numeric import np_round
 from citylake.ml.models import Candidate
 from citylake.ml.prep import Prepared
+from citylake.session import shared_dir
 
 METRICS = {"accuracy": "Accuracy", "f1": "F1_score", "weightedPrecision": "Precision", "weightedRecall": "Recall"}
 
@@ -66,6 +69,41 @@ def binary_auc(predictions: DataFrame, label: str) -> float:
     return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC").evaluate(predictions)
 
 
+def exact_auc(scores: DataFrame, score: str, positive: str, by: str) -> DataFrame:
+    """(by, n_pos, n_neg, auc) per group: the area under ROC as the share of positive-negative
+    pairs in the right order, ties counting one half. NULL where a group has one class only.
+
+    Equal scores become one row with two counts. Those rows are dealt by range of (group,
+    score), and the negatives below a row are those below it in its range, by a window inside
+    the range, and those of the group's earlier ranges. Of the ranges only their totals
+    reach the driver: one row per range and group that meet. A hot group spans many ranges, a
+    hot score is one row, and no window sees more than one range. Rows whose score or class
+    is NULL or NaN do not count; counts are exact decimals, so the result does not depend on
+    task order.
+    """
+    spark = scores.sparkSession
+    known = scores.select(F.col(by).alias("g"), F.nanvl(F.col(score).cast("double"), F.lit(None)).alias("s"), F.col(positive).alias("p"))
+    known = known.filter(F.col("s").isNotNull() & F.col("p").isNotNull())
+    counted = known.groupBy("g", "s").agg(F.count_if("p").alias("pos"), F.count_if(~F.col("p")).alias("neg"))
+    path = shared_dir(spark, "auc")
+    counted.repartitionByRange("g", "s").withColumn("range", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    totals = ranged.groupBy("range", "g").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()
+    below, rows = {}, []
+    for t in sorted(totals, key=lambda t: t["range"]):
+        rows.append((t["range"], t["g"], below.get(t["g"], 0)))
+        below[t["g"]] = below.get(t["g"], 0) + t["neg"]
+    earlier = spark.createDataFrame(rows, T.StructType([ranged.schema["range"], ranged.schema["g"], T.StructField("before", T.LongType())]))
+    inside = Window.partitionBy("range", "g").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("under", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+    same = (placed["range"] == earlier["range"]) & placed["g"].eqNullSafe(earlier["g"])
+    placed = placed.join(earlier, same).select(placed["g"], "pos", "neg", (F.col("under") + F.col("before")).alias("under"))
+    won = F.col("pos").cast("decimal(19,0)") * (2 * F.col("under") + F.col("neg")).cast("decimal(19,0)")
+    out = placed.groupBy("g").agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum(won).alias("won"))
+    pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double") * 2
+    return out.select(F.col("g").alias(by), "n_pos", "n_neg", F.try_divide(F.col("won").cast("double"), pairs).alias("auc"))
+
+
 def train_and_compare(ready: Prepared, models: list[Candidate]) -> tuple[DataFrame, dict[str, object]]:
     """Fit every candidate and score it on the holdout.
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citylake.dims import ALTERNATIVES, CAPACITY, GREEN_BASE, SIGNAL_IMPACT
 from citylake.functions.numeric import lookup, np_round
 from citylake.functions.traffic import advice_status, green_seconds, minutes_saved, signal_action
 
+LEVELS = ["bajo", "medio", "alto"]
+FACTS = ["congestion_factor", "indice_congestion", "velocidad_kmh", "duracion_trafico_s"]
+#: More than the places in any zone's list of alternatives.
+PLACES = 1024
+
 
 def serves_as_alternative(alternatives: dict[str, list[str]]) -> dict[str, list[tuple[str, int]]]:
     """Zone -> zones that list it as an alternative, with its place in their list."""
@@ -26,6 +31,10 @@ def with_alternatives(gold: DataFrame, alternatives: dict[str, list[str]] = ALTE
     zone and once to each zone it can relieve; a single shuffle on
     (zona, fecha, hora) then brings a row and its candidates together. A group
     holds one own row and at most as many candidates as the zone has neighbours.
+
+    Factor (three decimals, as the hourly table has them) and place in the list are
+    packed into one long that orders as the pair does, and levels travel as numbers, so
+    the aggregation stays in a hash table. The name of the best follows from its place.
     """
 
     def target(zone: str, place: int):
@@ -35,23 +44,33 @@ def with_alternatives(gold: DataFrame, alternatives: dict[str, list[str]] = ALTE
     for zone, served in serves_as_alternative(alternatives).items():
         reached = F.when(F.col("zona") == zone, F.array(target(zone, -1), *[target(*s) for s in served])).otherwise(reached)
 
-    facts = F.struct(
-        "zona", "nivel_congestion", "congestion_factor", "indice_congestion", "velocidad_kmh", "duracion_trafico_s"
-    )
     # A stored factor of 0 means "not measured" and falls back to the index.
     usable = F.when(F.col("congestion_factor") == 0, F.col("indice_congestion")).otherwise(F.col("congestion_factor"))
+    level = F.array_position(F.array(*[F.lit(v) for v in LEVELS]), F.col("nivel_congestion")).cast("int")
     sent = gold.select(
-        F.explode(reached).alias("t"), "fecha", "hora", facts.alias("facts"), usable.alias("usable")
-    ).select(F.col("t.a").alias("zona"), F.col("t.prio").alias("prio"), "fecha", "hora", "facts", "usable")
-    own = F.col("prio") < 0
-    candidate = ~own & F.col("usable").isNotNull()
-    return (
-        sent.groupBy("zona", "fecha", "hora")
-        .agg(
-            F.max_by(F.struct("facts", "usable"), F.when(own, F.lit(1))).alias("own"),
-            F.min_by(F.struct("facts", "usable"), F.when(candidate, F.struct("usable", "prio"))).alias("alt"),
+        F.explode(reached).alias("t"), "fecha", "hora", level.alias("level"), usable.alias("usable"), *[F.col(c).cast("double") for c in FACTS]
+    ).select(F.col("t.a").alias("zona"), F.col("t.prio").alias("prio"), "fecha", "hora", "level", "usable", *FACTS)
+    own, values = F.col("prio") < 0, ["level", "usable", *FACTS]
+    rank = F.rint(F.col("usable") * 1000).cast("bigint") * PLACES + F.col("prio")
+    rank = F.when(~own & F.col("usable").isNotNull(), rank)
+    best = sent.groupBy("zona", "fecha", "hora").agg(
+        F.count_if(own).alias("owns"),
+        F.min(rank).alias("rank"),
+        *[F.max(F.when(own, F.col(c))).alias(f"own_{c}") for c in values],
+        *[F.min_by(c, rank).alias(f"alt_{c}") for c in values],
+    )
+    options = F.create_map(*[x for z, names in alternatives.items() for x in (F.lit(z), F.array(*[F.lit(n) for n in names]))])
+    chosen = F.get(F.try_element_at(options, F.col("zona")), F.pmod(F.col("rank"), F.lit(PLACES)).cast("int"))
+
+    def facts(side: str, zone) -> Column:
+        name = F.get(F.array(*[F.lit(v) for v in LEVELS]), F.col(f"{side}_level") - 1)
+        columns = [F.col(f"{side}_{c}").alias(c) for c in FACTS]
+        return F.struct(
+            F.struct(zone.alias("zona"), name.alias("nivel_congestion"), *columns).alias("facts"), F.col(f"{side}_usable").alias("usable")
         )
-        .filter(F.col("own").isNotNull() & F.col("alt").isNotNull())
+
+    return best.filter((F.col("owns") > 0) & F.col("rank").isNotNull()).select(
+        "zona", "fecha", "hora", facts("own", F.col("zona")).alias("own"), facts("alt", chosen).alias("alt")
     )
 
 

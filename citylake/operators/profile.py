@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from citylake.dims import EVENT_TYPES, SENTIMENTS
 from citylake.functions.numeric import clip, exact_mean, share_of
@@ -109,6 +110,11 @@ def class_probabilities(
         F.count("nivel_congestion").alias("labelled"),
         *[F.count_if(F.col("nivel_congestion") == c).alias(f"n_{c}") for c in priors],
     )
+    return probabilities_of(counted, priors, at_least)
+
+
+def probabilities_of(counted: DataFrame, priors: dict[str, float] = LEVEL_PRIORS, at_least: int = 3) -> DataFrame:
+    """Probabilities from counts per zone and hour (n, labelled, one per label)."""
     raw = {
         f"p_{c}": F.when(
             (F.col("n") >= at_least) & (F.col(f"n_{c}") > 0), F.try_divide(F.col(f"n_{c}"), F.col("labelled"))
@@ -121,6 +127,74 @@ def class_probabilities(
     return filled.withColumn("_t", total).select("zona", "hora", "n", *[(F.col(c) / F.col("_t")).alias(c) for c in names])
 
 
+# ---- moments per day: every window is a merge of its days ----------------------------
+
+
+def day_moments(df: DataFrame, metrics: list[str], digits: int = 4, labels: list[str] = list(LEVEL_PRIORS)) -> DataFrame:
+    """Per day, zone and hour: rows, label counts, and of every metric count, sum (a scaled
+    integer, for metrics of so many digits), mean, and squares centred on that mean."""
+    return df.groupBy("fecha", "zona", "hora").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("nivel_congestion").alias("labelled"),
+        *[F.count_if(F.col("nivel_congestion") == c).alias(f"n_{c}") for c in labels],
+        *[F.count(m).alias(f"c_{m}") for m in metrics],
+        *[F.sum(F.rint(F.col(m) * float(10**digits)).cast("bigint")).alias(f"s_{m}") for m in metrics],
+        *[F.avg(m).alias(f"u_{m}") for m in metrics],
+        *[F.regr_sxx(m, m).alias(f"q_{m}") for m in metrics],
+    )
+
+
+def merged_moments(moments: DataFrame, first, last, metrics: list[str], digits: int = 4) -> DataFrame:
+    """One row per zone and hour over the days first..last, with mean_ and std_ of each metric.
+
+    The squares of all days together are those inside the days, and for each day the distance
+    of its mean from the mean of all, so no difference of large sums is taken. A window
+    group holds one row per day, however many readings a day had, and the aggregation that
+    follows has the same key: one exchange in all."""
+    whole = Window.partitionBy("zona", "hora")
+    scale = float(10**digits)
+
+    def mean(s: Column, c: Column) -> Column:
+        return F.try_divide(s.cast("double"), (c * int(scale)).cast("double"))
+
+    def squares(m: str) -> Column:
+        u, c = F.col(f"u_{m}"), F.col(f"c_{m}")
+        gap = u - F.try_divide(F.sum(u * c).over(whole), F.sum(c).over(whole))
+        return F.col(f"q_{m}") + c * gap * gap
+
+    near = moments.filter(F.col("fecha").between(first, last)).withColumns({f"q_{m}": squares(m) for m in metrics})
+    summed = [c for c in near.columns if c in ("n", "labelled") or c.startswith(("n_", "c_", "s_", "q_"))]
+    merged = near.groupBy("zona", "hora").agg(*[F.sum(c).alias(c) for c in summed])
+    means = {f"mean_{m}": mean(F.col(f"s_{m}"), F.col(f"c_{m}")) for m in metrics}
+    spread = {f"std_{m}": F.when(F.col(f"c_{m}") > 1, F.sqrt(F.col(f"q_{m}") / (F.col(f"c_{m}") - 1))) for m in metrics}
+    return merged.withColumns({**means, **spread})
+
+
+def profile_of(merged: DataFrame, metrics: list[str], floor: float = 0.01, at_least: int = 2) -> DataFrame:
+    """The zone-hour profile from merged moments."""
+    return merged.filter(F.col("n") >= at_least).select(
+        "zona",
+        "hora",
+        "n",
+        *[F.coalesce(f"mean_{m}", F.lit(0.0)).alias(f"mean_{m}") for m in metrics],
+        *[F.greatest(F.coalesce(f"std_{m}", F.lit(0.01)), F.lit(floor)).alias(f"std_{m}") for m in metrics],
+    )
+
+
+def weekday_factors_of(moments: DataFrame, first, last, metric: str = "congestion_ratio") -> DataFrame:
+    """Weekday factors of a window from day moments: the weekday follows from the day."""
+    days = moments.filter(F.col("fecha").between(first, last)).groupBy(F.weekday("fecha").alias("dia_semana"))
+    days = days.agg(F.sum(f"s_{metric}").alias("s"), F.sum(f"c_{metric}").alias("c"))
+
+    def mean(s: Column, c: Column) -> Column:
+        return F.try_divide(s.cast("double"), c.cast("double"))
+
+    overall = days.agg(mean(F.sum("s"), F.sum("c"))).scalar()
+    week = moments.sparkSession.range(7).select(F.col("id").cast("int").alias("dia_semana"))
+    factor = F.try_divide(mean(F.col("s"), F.col("c")), overall)
+    return week.join(days, "dia_semana", "left").select("dia_semana", F.coalesce(factor, F.lit(1.0)).alias("factor"))
+
+
 def event_rate(events: DataFrame, zones: int, types: list[str] = EVENT_TYPES, cap: float | None = None) -> DataFrame:
     """Events per zone and day with the distribution of types.
 

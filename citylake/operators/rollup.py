@@ -48,38 +48,47 @@ def gps_hourly(silver: DataFrame) -> DataFrame:
     return hourly(silver, ["congestion_factor", "velocidad_kmh", "duracion_trafico_s"])
 
 
-def camera_batches(silver: DataFrame, counts: list[str], batch: str = "_ingest_ts") -> DataFrame:
+def camera_sums(counts: list[str]) -> list[Column]:
     """Sums over the cameras of one batch, with both directions in the same pass."""
-    directed = F.col("posicion").isin("entrada", "salida")
 
     def flow(side: str) -> Column:
         return F.sum(F.when(F.col("posicion") == side, F.col("total_detectado")))
 
-    return silver.groupBy(*HOUR_KEY, batch).agg(
+    return [
         *[F.sum(c).alias(c) for c in ["total_detectado", *counts]],
         flow("entrada").alias("v_entrada"),
         flow("salida").alias("v_salida"),
-        F.count_if(directed).alias("n_directed"),
-    )
-
+        F.count_if(F.col("posicion").isin("entrada", "salida")).alias("n_directed"),
+    ]
 
-def cameras_hourly(silver: DataFrame, batch: str = "_ingest_ts") -> DataFrame:
-    """Vehicles per zone and hour, class shares and directional flow.
 
-    Batches sum, hours average. One scan replaces separate composition, inflow and
-    outflow passes with an outer join: an absent direction counts as 0 in batches
-    that saw the other one.
-    """
-    counts = [c for c in silver.columns if c.startswith("cnt_")]
+def camera_means(counts: list[str]) -> list[Column]:
+    """Means over the batches of an hour; an absent direction counts as 0 in batches that
+    saw the other one."""
 
     def directed_mean(c: str) -> Column:
         return np_round(F.avg(F.when(F.col("n_directed") > 0, F.coalesce(F.col(c), F.lit(0)))), 1)
 
-    means = camera_batches(silver, counts, batch).groupBy(*HOUR_KEY).agg(
+    return [
         *[np_round(_avg(c), 1).alias(c) for c in ["total_detectado", *counts]],
         directed_mean("v_entrada").alias("vehiculos_entrada"),
         directed_mean("v_salida").alias("vehiculos_salida"),
-    )
+    ]
+
+
+def camera_counts(silver: DataFrame) -> list[str]:
+    return [c for c in silver.columns if c.startswith("cnt_")]
+
+
+def cameras_hourly(silver: DataFrame, batch: str = "_ingest_ts") -> DataFrame:
+    """Vehicles per zone and hour, class shares and directional flow.
+
+    Batches sum, hours average. One scan replaces separate composition, inflow and
+    outflow passes with an outer join.
+    """
+    counts = camera_counts(silver)
+    batches = silver.groupBy(*HOUR_KEY, batch).agg(*camera_sums(counts))
+    means = batches.groupBy(*HOUR_KEY).agg(*camera_means(counts))
     return class_shares(means.withColumnRenamed("total_detectado", "total_vehiculos_zona"), counts)
 
 

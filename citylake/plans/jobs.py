@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 
 from citylake.dims import zone_frame
 from citylake.operators.advise import route_advice, signal_timing
+from citylake.operators import kpi
 from citylake.operators.kpi import composition_kpis, global_kpis, hour_kpis, zone_kpis, zone_kpis_long
 from citylake.operators.profile import (
     class_probabilities,
+    day_moments,
     event_rate,
+    merged_moments,
     news_rate,
+    probabilities_of,
+    profile_of,
     weekday_factors,
+    weekday_factors_of,
     zone_hour_profile,
 )
 from citylake.operators.series import circular_fill, lag_features, lag_features_incremental
@@ -58,8 +64,41 @@ def kpi_tables(gold: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def export_kpis(gold: DataFrame, path: str, model_results: DataFrame | None = None) -> None:
-    tables = kpi_tables(gold)
+def kpi_tables_of(partials: DataFrame) -> dict[str, DataFrame]:
+    """The same tables from the sums of days."""
+    zones = kpi.merged(partials, "zona")
+    return {
+        "kpi_resumen": kpi.global_table(zones),
+        "kpi_por_zona": kpi.zone_table(zones),
+        "kpi_resumen_por_zona": kpi.zone_table_long(zones),
+        "kpi_serie_temporal": kpi.hour_table(kpi.merged(partials, "hora")),
+        "kpi_composicion": kpi.composition_table(zones),
+    }
+
+
+def stale_days(spark: SparkSession, gold_path: str, partial_path: str, touched: list[date]) -> list[date]:
+    """Days whose sums are not those of the gold table: the touched ones and those never summed.
+
+    Both lists are folder names; no file is opened."""
+    there, summed = (set(partition_values(spark, p, "fecha")) for p in (gold_path, partial_path))
+    return sorted(date.fromisoformat(d) for d in there & (there - summed | {str(d) for d in touched}))
+
+
+def refresh_kpi_partials(spark: SparkSession, gold_path: str, partial_path: str, touched: list[date]) -> None:
+    """Sum the stale days of gold and put them into the table of sums, whole days at a time.
+
+    The day filter prunes gold by partition. A day is replaced, never added to, so a run that
+    is repeated or cut short leaves no day counted twice."""
+    days = stale_days(spark, gold_path, partial_path, touched)
+    if days:
+        gold = spark.read.parquet(gold_path).filter(F.col("fecha").isin(days))
+        overwrite_days(kpi.day_partials(gold), partial_path, "fecha")
+
+
+def export_kpis(
+    gold: DataFrame, path: str, model_results: DataFrame | None = None, tables: dict[str, DataFrame] | None = None
+) -> None:
+    tables = dict(tables or kpi_tables(gold))
     if model_results is not None:
         tables["kpi_ml_resultados"] = model_results
     for name, table in tables.items():
@@ -112,8 +151,9 @@ def refresh_gold(
     """Recompute the days touched by the last hours and put them into gold.
 
     Silver, gold, an optional relabelling, the replacement of whole days, advice and,
-    where a `kpis` folder is named, the KPI export run as one job. Days and hours are
-    those of `tz`.
+    where a `kpis` folder is named, the KPI export run as one job. The export adds up
+    sums that are kept per day, so it reads gold for the touched days only. Days and hours
+    are those of `tz`.
 
     `busiest` is the fixed camera reference, so that a refresh and a full rebuild
     give the same index. `relabel` may replace the rule label by a model's.
@@ -136,7 +176,9 @@ def refresh_gold(
     gold = spark.read.parquet(target)
     write_advice(gold.filter(F.col("fecha").between(first, last)), gold_root)
     if kpis is not None:
-        export_kpis(gold, kpis)
+        partials, touched = f"{gold_root}/kpi_parciales", [first + timedelta(days=k) for k in range((last - first).days + 1)]
+        refresh_kpi_partials(spark, target, partials, touched)
+        export_kpis(gold, kpis, tables=kpi_tables_of(spark.read.parquet(partials)))
     return gold
 
 
@@ -172,6 +214,30 @@ def learn_profiles(gold: DataFrame, events: DataFrame, news: DataFrame, as_of, z
     }
 
 
+def refresh_moments(gold: DataFrame, path: str) -> None:
+    """Put the moments of the days of `gold` into the table of moments, whole days at a time."""
+    metrics = [m for m in PROFILE_METRICS if m in gold.columns]
+    overwrite_days(day_moments(gold, metrics), path, "fecha")
+
+
+def sliding_profiles(moments: DataFrame, as_of: date, days: int = 7) -> dict[str, DataFrame]:
+    """The tables learned from gold for the window that ends on `as_of`, from moments alone:
+    the next window costs no scan of gold."""
+    first = as_of - timedelta(days=days)
+    metrics = [m for m in PROFILE_METRICS if f"s_{m}" in moments.columns]
+    columns = [f"{p}_{m}" for p in ("mean", "std") for m in metrics]
+    places = zone_frame(moments.sparkSession).select("zona")
+    merged = merged_moments(moments, first, as_of, metrics)
+    hours = places.select("zona", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hora"))
+    counts = merged.select("zona", "hora", "n", "labelled", *[c for c in merged.columns if c.startswith("n_")])
+    counts = hours.join(counts, ["zona", "hora"], "left").fillna(0)
+    return {
+        "perfil_hora": circular_fill(profile_of(merged, metrics), columns, PROFILE_DEFAULTS, keys=places),
+        "factor_dia": weekday_factors_of(moments, first, as_of),
+        "prob_nivel": probabilities_of(counts),
+    }
+
+
 def write_profiles(profiles: dict[str, DataFrame], path: str) -> None:
     for name, table in profiles.items():
         overwrite_table(table, f"{path}/{name}")

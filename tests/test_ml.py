@@ -1,6 +1,7 @@
 """Feature selection, training floors, one-vs-rest, storage and inference."""
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -158,3 +159,20 @@ def test_best_model_is_saved_and_loaded_whatever_its_kind(spark, rows, ready):
     assert store.save_best(ready, results, fitted, path) == "OvR + LR binaria"
     assert store.describe(spark, path)["uno_contra_resto"]
     assert store.predict(rows, path).filter(F.col(TARGET).isNull()).count() == 0
+
+
+def test_exact_auc_against_pairs(spark):
+    from citylake.ml.evaluate import exact_auc
+
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), rng.choice([rng.random(), rng.randrange(4) / 4]), rng.random() < 0.3) for _ in range(800)]
+    rows += [("one", 0.5, True), ("one", 0.7, True), ("a", None, True), ("a", float("nan"), False), ("b", 0.1, None), (None, 0.2, True), (None, 0.1, False)]
+    frame = spark.createDataFrame(rows, "g string, s double, y boolean").repartition(5)
+    got = {r["g"]: (r["n_pos"], r["n_neg"], r["auc"]) for r in exact_auc(frame, "s", "y", "g").collect()}
+    for g in ("a", "b", None):
+        known = [(s, y) for k, s, y in rows if k == g and y is not None and s is not None and s == s]
+        pos, neg = ([s for s, y in known if y is want] for want in (True, False))
+        won = sum((p > n) + (p == n) / 2 for p in pos for n in neg)
+        assert got[g] == (len(pos), len(neg), pytest.approx(won / len(pos) / len(neg), abs=1e-12))
+    assert got["one"] == (2, 0, None)
+    assert exact_auc(frame.filter("false"), "s", "y", "g").collect() == []

@@ -78,3 +78,11 @@ def test_strongest_events_are_limited_before_the_shuffle(spark, sf_dir):
 
     text = plan(strongest_events(cleaned(spark, sf_dir, "eventos")["eventos"]))
     assert "SortAggregate" not in text and text.count("WindowGroupLimit") >= 4
+
+
+def test_route_advice_stays_in_hash_tables(spark, sf_dir, tmp_path):
+    from citylake.operators.advise import route_advice
+
+    gold(spark, sf_dir).write.parquet(str(tmp_path / "gold"))
+    text = plan(route_advice(spark.read.parquet(str(tmp_path / "gold"))))
+    assert "SortAggregate" not in text and text.count("HashAggregate") == 2 and text.count("Exchange") == 1
