@@ -1,12 +1,14 @@
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import public_tokenizers
 import pytest
 import sentencepiece
 
-from citylake.llm.fertility import BANDS, VOCABULARY, fertility_rules, main_script
+from citylake.llm.fertility import VOCABULARY, band_of, fertility_rules, main_script
 from tests.llm.helpers import awkward, awkward_rows, clashing, empty
 
 
@@ -29,7 +31,7 @@ def slow(model, text):
     if tokens:
         chars, share = sum(map(len, words)) / len(tokens), sum(map(model.is_byte, tokens)) / len(tokens)
         entropy = -sum(c / len(tokens) * math.log2(c / len(tokens)) for c in Counter(tokens).values())
-        band = BANDS[main_script(text)]
+        band = band_of(text, main_script(text))
         kept = kept and band.least_chars <= chars <= band.most_chars
         kept = kept and share <= band.most_bytes and entropy >= band.least_entropy
     symbols = len(re.findall(r"[#*$%&|<>]", text))
@@ -52,12 +54,40 @@ def test_scripts():
     assert {t: main_script(t) for t in cases} == cases
 
 
-def test_bands_reject_gibberish(spark):
-    plain = " ".join(f"this is an ordinary sentence number {i} about rivers" for i in range(40))
-    odd = " ".join("".join(chr(0x1F300 + (i * j) % 600) for j in range(9)) for i in range(90))
-    docs = spark.createDataFrame([(1, plain), (2, odd)], "doc_id long, text string")
-    verdict = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in fertility_rules(docs).collect()}
-    assert verdict[2] == (False, False)
+ENGLISH = """the tower was built by hand over many years and it stands above old harbour where ships from distant countries used
+to unload their goods before railway came valley changed way that people lived worked in town every morning small boat leaves for island""".split()
+
+
+def made_of(rng, pool, low, high, n=200):
+    return " ".join("".join(rng.choice(pool) for _ in range(rng.randint(low, high))) for _ in range(n))
+
+
+GIBBERISH = {
+    "letters": (string.ascii_lowercase, 3, 8), "capitals": (string.ascii_uppercase, 3, 8), "mixed": (string.ascii_letters, 3, 8),
+    "digits": (string.digits, 7, 7), "numbers": (string.digits, 1, 3), "symbols": ("#$%&*@!^~+=", 3, 8),
+    "base64": (string.ascii_letters + string.digits + "+/", 20, 60), "hex": ("0123456789abcdef", 16, 32),
+    "emoji": ([chr(0x1F300 + i) for i in range(600)], 9, 9),
+}
+
+
+def test_bands_reject_gibberish_and_keep_text(spark):
+    rng = random.Random(2)
+    plain = " ".join(rng.choice(ENGLISH) for _ in range(200))
+    foreign = {"greek": "Ο ήλιος ανατέλλει πάνω από το λιμάνι και τα πλοία φεύγουν", "russian": "Солнце встаёт над гаванью и корабли уходят в море",
+               "georgian": "მზე ამოდის ნავსადგურის თავზე და გემები მიდიან ზღვაში"}
+    rows = [("plain", plain)] + [(k, " ".join(f"{w}{i % 7}" if i % 9 == 0 else w for i, w in enumerate((t + " ").split() * 12))) for k, t in foreign.items()]
+    rows += [(kind, made_of(rng, *shape)) for kind, shape in GIBBERISH.items() for _ in range(20)]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in fertility_rules(docs).collect()}
+    kept = Counter(kind for i, (kind, _) in enumerate(rows) if found[i]["kept"])
+    assert kept["plain"] == 1 and not any(found[i]["base_failed"] for i, (kind, _) in enumerate(rows) if kind in GIBBERISH)
+    assert not any(kept[kind] for kind in GIBBERISH)
+    assert all(band_of(t, main_script(t)) is not None and main_script(t) != "latin" for t in foreign.values())
+
+
+def test_bands_keep_the_given_prose(spark, sf_dir):
+    out = fertility_rules(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()
+    assert all(r["kept"] for r in out if not r["base_failed"]) and sum(r["kept"] for r in out) > len(out) / 2
 
 
 def test_empty_table(spark):
