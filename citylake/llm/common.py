@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,27 +10,49 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.session import shared_dir
+from citylake.session import remove_dir, shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths staged since the outermost open `finished` call began; None while there is none.
+_scratch: list[str] | None = None
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written once to the shared folder and read back: lineage ends here."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
+    if _scratch is not None:
+        _scratch.append(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.staged_path = path
     return back
 
 
+def finished(build: Callable[[], DataFrame], purpose: str) -> DataFrame:
+    """The result of `build` as a staged table; what was staged to get there is removed.
+
+    After a failure everything stays, for a look or a restart."""
+    global _scratch
+    outer, _scratch = _scratch, []
+    try:
+        result = build()
+        inner, _scratch = _scratch, outer
+        out = staged(result, purpose)
+    finally:
+        _scratch = outer
+    for path in inner:
+        remove_dir(result.sparkSession, path)
+    return out
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a staged table that no later step reads."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    remove_dir(df.sparkSession, df.staged_path)
 
 
 def runs_of(column: pa.Array, budget: int) -> Iterator[tuple[int, int]]:

@@ -22,12 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citylake.llm.common import staged, text_slices
 from citylake.session import shared_dir
+from citylake.sources.files import opened
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 END = 50256  # the first id the vocabulary leaves free
@@ -45,13 +45,6 @@ def encoding(path: str, pattern: str):
     return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI that all machines can reach."""
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = uri.replace("file:", "file://", 1)
-    return fs.FileSystem.from_uri(uri)
-
-
 def write_token_files(
     docs: DataFrame, folder: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

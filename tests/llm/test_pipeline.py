@@ -68,6 +68,20 @@ def test_last_stage_and_run(spark, stages, sf_dir):
     assert got == sorted((r["doc_id"], r["ids_sha256"]) for r in corpus_pipeline.run(spark, sf_dir).collect())
 
 
+def test_a_run_leaves_one_table(spark, sf_dir, monkeypatch, tmp_path):
+    """Whatever the stages stage is removed; what the last result reads stays."""
+    made = []
+
+    def fresh(_, purpose):
+        made.append(tmp_path / f"{purpose}-{len(made)}")
+        return str(made[-1])
+
+    monkeypatch.setattr("citylake.llm.common.shared_dir", fresh)
+    result = corpus_pipeline.run(spark, sf_dir)
+    left = [p.name.rsplit("-", 1)[0] for p in made if p.exists()]
+    assert len(made) > 20 and left == ["pipeline-mixing"] and result.count() > 100
+
+
 @pytest.mark.parametrize("rows", [awkward, clashing, empty])
 def test_stages_survive_awkward_rows(spark, sf_dir, rows):
     docs = rows(spark)

@@ -1,3 +1,4 @@
+import os
 import zlib
 
 import numpy as np
@@ -66,6 +67,21 @@ def test_query_finds_toxic_texts(spark, sf_dir):
     assert sum(clean) <= 0.02 * len(clean)
 
 
+def test_held_out_toxic_texts_are_found(spark, sf_dir):
+    """A model that flags nothing, or everything, fails here."""
+    big = os.path.join(os.path.dirname(sf_dir), "sf0.1")
+    if not os.path.isdir(big):
+        pytest.skip("needs a larger table")
+    docs = spark.read.parquet(f"{big}/documents.parquet")
+    labels = spark.read.parquet(f"{big}/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 0
+    known = labels.filter(~held).select(F.col("doc_id").alias("id"), (1 - F.col("quality")).alias("low_quality"), "toxic")
+    out = toxicity.score(docs, toxicity.train(docs, known)).select("doc_id", F.col("toxic").alias("found"))
+    both = labels.filter(held).join(out, "doc_id").collect()
+    toxic, clean = ([r["found"] for r in both if r["toxic"] == want] for want in (1, 0))
+    assert len(toxic) > 20 and sum(toxic) >= 0.85 * len(toxic) and sum(clean) <= 0.02 * len(clean)
+
+
 @pytest.mark.parametrize("rows", [awkward, clashing])
 def test_awkward_rows(spark, rows):
     labels = spark.createDataFrame(
