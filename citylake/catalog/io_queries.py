@@ -7,13 +7,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citylake.catalog import oracle as o
-from citylake.catalog.model_queries import RULE_SQL, SCORE_CTES, SCORE_SQL
+from citylake.catalog.model_queries import MODEL_NAMES, RULE_SQL, SCORE_CTES, SCORE_SQL
 from citylake.catalog.products import KPI_LONG_SQL
-from citylake.catalog.registry import query
+from citylake.catalog.registry import ORACLES, query
 from citylake.catalog.views import SOURCE_ORDER, bronze_sources, readings, table
-from citylake.dims import EVENT_TYPES, SENTIMENTS, ZONE_NAMES
+from citylake.dims import EVENT_TYPES, SENTIMENTS, SOURCE_QUALITY, ZONE_NAMES
 from citylake.functions.numeric import np_round
 from citylake.functions.timegrain import add_time_grain
 from citylake.functions.traffic import service_level
@@ -254,6 +255,24 @@ def _(spark, sf):
     return landed.select("event_id", "zona", "intensidad_veh_hora", "congestion_ratio", "tipo_corredor", "ingest_date")
 
 
+@query("bronze_drift", ORACLES["landed_drift"])
+def _(spark, sf):
+    """Integer, text and double files and late columns below one folder, written as they came."""
+    path = shared_dir(spark, "drifted")
+    r = readings(spark, sf).withColumn("_ingest_ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    keep = ["event_id", "zona", "fecha", "_ingest_ts"]
+    layouts = [
+        ("fecha < '2024-01-10'", [F.col("k").alias("intensidad_veh_hora")]),
+        ("fecha >= '2024-01-10' AND fecha < '2024-01-20'", [F.col("k").cast("string").alias("intensidad_veh_hora"), "congestion_ratio"]),
+        ("fecha >= '2024-01-20'", [F.col("k").cast("double").alias("intensidad_veh_hora"), "congestion_ratio", F.lit("avenida").alias("tipo_corredor")]),
+    ]
+    for when, columns in layouts:
+        r.filter(when).select(*keep, *columns).write.mode("append").parquet(path)
+    schema = T.StructType.fromDDL(f"event_id long, fecha date, {bronze_schema('sensores_trafico').toDDL()}")
+    drifted = rd.read_drifted(spark, path, schema)
+    return drifted.select("event_id", "zona", "intensidad_veh_hora", "congestion_ratio", "tipo_corredor", F.col("fecha").alias("ingest_date"))
+
+
 @query(
     "stream_ingest",
     R + "SELECT event_id, 'A' || k AS sensor_id, CAST(floor(v) AS INTEGER) AS intensidad, fecha AS ingest_date, 'sensores_trafico' AS _fuente FROM r",
@@ -514,3 +533,107 @@ def _(spark, sf):
         learned = sliding_profiles(moments, end)
         parts += [_long(learned[t], t, F.expr(key), n, digits=6).withColumn("ventana", F.lit(str(end))) for t, (_, key, n) in _FROM_GOLD.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+# ---- written tables -------------------------------------------------------------------
+
+
+@query("quality_report_stored", ORACLES["quality_report"])
+def _(spark, sf):
+    """The quality report of landed and cleaned files, counted without their data columns."""
+    from citylake.operators.quality import stored_report
+    from citylake.plans.silver import RULES, silver
+
+    root, clean_root = _landed_sources(spark, sf), shared_dir(spark, "silver")
+    extra = "event_id long, doc_id long"
+    bronze = {n: rd.read_landed(spark, f"{root}/{n}", landed_schema(n, extra)) for n in SOURCE_ORDER}
+    for name, rows in silver(bronze, SOURCE_ORDER).items():
+        sk.overwrite_table(rows, f"{clean_root}/{name}")
+    return stored_report(
+        {n: (bronze[n], spark.read.parquet(f"{clean_root}/{n}"), RULES[n].report_field, SOURCE_QUALITY[n]) for n in bronze}
+    )
+
+
+@query("sorted_days", o.ctes(o.GOLD) + "SELECT count(*) AS filas, 0::BIGINT AS desordenadas, TRUE AS acotados FROM gold")
+def _(spark, sf):
+    """Gold written by day in order of zone and hour: no file has a row out of place or too many rows."""
+    from citylake.catalog.products import gold
+
+    path = shared_dir(spark, "sorted")
+    sk.overwrite_days(gold(spark, sf), path, "fecha", ["zona", "hora"], most_rows=50)
+    files = sk.order_in_files(spark.read.parquet(path), ["zona", "hora"])
+    return files.agg(
+        F.sum("rows").alias("filas"), F.sum("disordered").alias("desordenadas"), (F.max("rows") <= 50).alias("acotados")
+    )
+
+
+@query(
+    "kpi_ml_export",
+    " UNION ALL ".join(f"SELECT {o.q(n)} AS Modelo, 'ok' AS Estado, TRUE AS en_rango" for n in MODEL_NAMES),
+)
+def _(spark, sf):
+    """The comparison of the nine classifiers among the exported KPI tables, read back from CSV."""
+    from citylake.catalog.model_queries import compared
+    from citylake.catalog.products import gold
+    from citylake.plans.jobs import export_kpis, materialise
+
+    path, (results, _, _) = shared_dir(spark, "kpis-ml"), compared(spark, sf)
+    export_kpis(materialise(gold(spark, sf), "kpi-gold"), path, results)
+    back = rd.read_csv(spark, f"{path}/kpi_ml_resultados", results.schema)
+    share = reduce(lambda a, b: a & b, [F.col(m).between(0, 1) for m in _SCORES])
+    return back.select("Modelo", "Estado", share.alias("en_rango"))
+
+
+_LIMA = "(ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Lima'"
+
+
+@query(
+    "incremental_full",
+    o.ctes(o.READINGS, o.SILVER_CLIMA)
+    + f"""SELECT count(DISTINCT (zona, date_trunc('hour', {_LIMA}))) AS filas, TRUE AS como_completo, TRUE AS kpis_iguales, TRUE AS ensayo_sin_huella FROM s_cli""",
+)
+def _(spark, sf):
+    """Refreshes in local time with a stored model, KPI export and a dry run, against a full
+    build with the same model."""
+    from citylake.catalog.products import cleaned
+    from citylake.ml import models as md
+    from citylake.ml import prep as pp
+    from citylake.ml import store
+    from citylake.plans.jobs import build_gold, kpi_tables, refresh_gold
+
+    tz, model, root, kpis = "America/Lima", shared_dir(spark, "model"), shared_dir(spark, "gold"), shared_dir(spark, "kpis")
+    bronze = _landed_sources(spark, sf)
+    rows = build_gold(cleaned(spark, sf), shared_dir(spark, "gold"), _REFERENCE, storage=False, tz=tz)
+    ready = pp.prepare(rows, "nivel_congestion")
+    tree = next(c for c in md.candidates("nivel_congestion", ready.size, len(ready.selection.labels)) if c.name == "DecisionTree")
+    store.save(ready, tree.estimator.fit(ready.train), tree.name, model)
+    ready.release()
+
+    def refresh(as_of, hours, **options):
+        return refresh_gold(
+            spark, bronze, root, list(SOURCE_ORDER), as_of, _REFERENCE, hours, relabel=lambda fresh: store.predict(fresh, model),
+            order=SOURCE_ORDER, storage=False, tz=tz, extra="event_id long, doc_id long", **options,
+        )
+
+    # A local day begins five hours after the UTC day, so the first run starts a day earlier.
+    for as_of, hours in [(datetime.datetime(2024, 1, 12, 23), 24 * 13), *_RUNS[1:]]:
+        table_ = refresh(as_of, hours, kpis=kpis)
+
+    def files():
+        return sorted(r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path").collect())
+
+    seen = files()
+    refresh(*_RUNS[1], dry_run=True).write.format("noop").mode("overwrite").save()
+    untouched = files() == seen
+    want = store.predict(rows, model)
+    columns = sorted(set(want.columns) & set(table_.columns))
+    missing = want.select(*columns).exceptAll(table_.select(*columns)).agg(F.count(F.lit(1))).scalar()
+    surplus = table_.select(*columns).exceptAll(want.select(*columns)).agg(F.count(F.lit(1))).scalar()
+    exported = kpi_tables(want)["kpi_resumen"]
+    same = exported.exceptAll(rd.read_csv(spark, f"{kpis}/kpi_resumen", exported.schema)).agg(F.count(F.lit(1))).scalar()
+    return table_.agg(
+        F.count(F.lit(1)).alias("filas"),
+        ((missing == 0) & (surplus == 0)).alias("como_completo"),
+        (same == 0).alias("kpis_iguales"),
+        F.lit(untouched).alias("ensayo_sin_huella"),
+    )

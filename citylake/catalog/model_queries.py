@@ -194,7 +194,7 @@ def compared(spark, sf):
     return out
 
 
-_POOL = [
+MODEL_NAMES = [
     "DecisionTree", "RandomForest", "GBT (OvR manual)", "LogisticRegression", "MLP", "NaiveBayes",
     "LinearSVC (OvR)", "FMClassifier (OvR)", "OvR + LR binaria",
 ]
@@ -202,7 +202,7 @@ _POOL = [
 
 @query(
     "model_comparison",
-    " UNION ALL ".join(f"SELECT {o.q(n)} AS Modelo, 'ok' AS Estado, TRUE AS en_rango, TRUE AS mejor_es_maximo" for n in _POOL),
+    " UNION ALL ".join(f"SELECT {o.q(n)} AS Modelo, 'ok' AS Estado, TRUE AS en_rango, TRUE AS mejor_es_maximo" for n in MODEL_NAMES),
 )
 def _(spark, sf):
     """All nine classifiers: none failed, metrics are shares, the flag is on the largest F1 only."""
@@ -219,7 +219,7 @@ def _(spark, sf):
 
 @query(
     "model_confusion",
-    o.ctes(o.GOLD) + " UNION ALL ".join(f"SELECT {o.q(n)} AS Modelo, (SELECT count(DISTINCT {TARGET}) FROM gold) AS clases, TRUE AS cuadra" for n in _POOL),
+    o.ctes(o.GOLD) + " UNION ALL ".join(f"SELECT {o.q(n)} AS Modelo, (SELECT count(DISTINCT {TARGET}) FROM gold) AS clases, TRUE AS cuadra" for n in MODEL_NAMES),
 )
 def _(spark, sf):
     """A confusion matrix per model, whose row sums are the holdout's rows of each class."""
@@ -247,7 +247,7 @@ def _(spark, sf):
     f1 = F.col("mejor_f1")
     band = F.when(f1 >= 0.88, 0).when(f1 >= 0.85, 1).otherwise(2)
     shown = F.array_position(F.array(*[F.lit(LEVEL_COLOR[c]) for c in ("bajo", "medio", "alto")]), F.col("color_ml")) - 1
-    named = F.col("mejor_modelo").isin(_POOL) | (F.col("mejor_modelo").isNull() & (ties > 1))
+    named = F.col("mejor_modelo").isin(MODEL_NAMES) | (F.col("mejor_modelo").isNull() & (ties > 1))
     return measures.best_model(results).select(
         named.alias("es_de_la_lista"), (f1 == top).alias("es_el_maximo"), (shown == band).alias("color_segun_f1")
     )

@@ -9,11 +9,48 @@ from pyspark.sql import functions as F
 from citylake.catalog import oracle as o
 from citylake.catalog.products import cleaned
 from citylake.catalog.registry import query
-from citylake.catalog.views import readings
+from citylake.catalog.views import SOURCES, bronze_sources, readings
 from citylake.session import shared_dir
+from citylake.sources.readers import read_or_empty
 from citylake.streaming import gold as sg
 from citylake.streaming import jobs as st
 
+_TABLE_OF = {"eventos": "orders", "redes_noticias": "documents"}
+_BROKEN = "gps_rutas"
+_COUNTED = {n: f"(SELECT count(*) FROM {_TABLE_OF.get(n, 'events')})" for n in SOURCES} | {_BROKEN: "0::BIGINT"}
+
+
+@query(
+    "stream_ingest_all",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS fuente, {_COUNTED[n]} AS filas, {n != _BROKEN} AS entero"
+        for n in SOURCES
+    ),
+)
+def _(spark, sf):
+    """Six sources as six streams, one with files that do not hold what it declares: five land in
+    full, the sixth is reported."""
+    inbox, bronze, starters, schemas = shared_dir(spark, "inbox"), shared_dir(spark, "bronze"), {}, {}
+    for name, rows in bronze_sources(spark, sf).items():
+        schemas[name] = rows.schema
+        landed = rows.withColumn("velocidad_kmh", F.lit("fast")) if name == _BROKEN else rows
+        landed.write.parquet(f"{inbox}/{name}")
+
+        def start(name=name):
+            stream = st.landed_stream(spark, f"{inbox}/{name}", schemas[name])
+            return st.ingest(
+                stream, name, f"{bronze}/{name}", st.checkpoint_path(spark, f"ingest-{name}"), F.col("_ingest_ts"), True, ("ingest_date",)
+            )
+
+        starters[name] = start
+    outcome, every = st.run_all(starters), None
+    for name, error in outcome.items():
+        landed = read_or_empty(spark, f"{bronze}/{name}", schemas[name])
+        counted = landed.agg(F.lit(name).alias("fuente"), F.count(F.lit(1)).alias("filas"), F.lit(error is None).alias("entero"))
+        every = counted if every is None else every.unionByName(counted)
+    return every
+
+
 _CUTS = [datetime.datetime(2024, 1, 11), datetime.datetime(2024, 1, 21)]
 _LATER = datetime.datetime(2024, 3, 1)
 _REFERENCE = 99.0

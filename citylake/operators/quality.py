@@ -109,6 +109,31 @@ def quality_report(sources: dict[str, tuple[DataFrame, DataFrame, str]]) -> Data
     )
 
 
+def stored_report(sources: dict[str, tuple[DataFrame, DataFrame, str, str]]) -> DataFrame:
+    """The same report from written tables: name -> (bronze, silver, key field, declared quality).
+
+    A bare count reads no column: Parquet's footers hold the row counts. Of silver only the
+    key field is read. Nothing is cleaned again to be counted, and a task that runs twice
+    counts what is in the files."""
+    rows = {}
+    for name, (bronze, silver, key, quality) in sources.items():
+        tag = [F.lit(name).alias("fuente"), F.lit(key).alias("campo_clave"), F.lit(quality).alias("calidad_fuente")]
+        n_in = bronze.agg(F.count(F.lit(1)).alias("n")).scalar()
+        counts = silver.agg(F.count(F.lit(1)).alias("n_out"), F.count(key).alias("n_key"))
+        rows[name] = counts.select(*tag, n_in.alias("n_in"), "n_out", "n_key")
+    kept = F.coalesce(np_round(F.try_divide(F.col("n_out") * 100.0, F.col("n_in")), 1), F.lit(0.0))
+    return reduce(DataFrame.unionByName, rows.values()).select(
+        "fuente",
+        "campo_clave",
+        F.col("n_in").alias("registros_bronze"),
+        F.col("n_out").alias("registros_silver"),
+        (F.col("n_out") - F.col("n_key")).alias("nulos_campo_clave"),
+        "calidad_fuente",
+        (F.col("n_in") - F.col("n_out")).alias("descartados"),
+        kept.alias("pct_retenidos"),
+    )
+
+
 def null_report(df: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     """Nulls per column, tagged with its schema group; one pass over the table."""
     pairs = [(g, c) for g, cols in groups.items() for c in cols if c in df.columns]

@@ -11,6 +11,10 @@ from pyspark.sql.window import Window
 from citylake.functions.numeric import np_round
 
 
+#: What a row hands on to the next hour of its zone.
+CARRIED = ["zona", "fecha", "hora", "congestion_factor", "indice_congestion"]
+
+
 def lag_features(gold: DataFrame, key: str = "zona", order: list[str] = ("fecha", "hora")) -> DataFrame:
     """Previous row per zone (gaps are not filled) and the index trend.
 
@@ -57,10 +61,13 @@ def lag_features_incremental(fresh: DataFrame, history: DataFrame, days: list[da
     ones) is put in front of the fresh rows, so the first fresh row has the same lag a
     full run would give it.
     """
-    carried = ["zona", "fecha", "hora", "congestion_factor", "indice_congestion"]
-    last = last_rows(history.select(*carried), fresh, days)
+    return lag_features_after(fresh, last_rows(history.select(*CARRIED), fresh, days))
+
+
+def lag_features_after(fresh: DataFrame, last: DataFrame) -> DataFrame:
+    """Lags of fresh rows that follow the one row per zone in `last`."""
     both = fresh.withColumn("_carry", F.lit(False)).unionByName(
-        last.select(*carried, F.lit(True).alias("_carry")), allowMissingColumns=True
+        last.select(*CARRIED, F.lit(True).alias("_carry")), allowMissingColumns=True
     )
     return lag_features(both).filter(~F.col("_carry")).drop("_carry")
 

@@ -24,7 +24,7 @@ from citylake.operators.profile import (
     weekday_factors_of,
     zone_hour_profile,
 )
-from citylake.operators.series import circular_fill, lag_features, lag_features_incremental
+from citylake.operators.series import CARRIED, circular_fill, lag_features, lag_features_after, last_rows
 from citylake.operators.upsert import replace_days
 from citylake.plans.gold import add_features, add_label, flags_as_int, join_sources
 from citylake.plans.silver import silver
@@ -163,17 +163,24 @@ def refresh_gold(
     cleaned = silver(read_sources(spark, bronze_root, sources, as_of, hours, extra), order)
     first, last = touched_dates(as_of, hours)
     complete = join_sources(cleaned, tz).filter(F.col("fecha").between(first, last))
-    featured = flags_as_int(add_features(complete, busiest))
-    target = f"{gold_root}/congestion_por_zona"
-    stored = conform(read_or_empty(spark, target, featured.schema), featured.schema)
-    days = [d for v in partition_values(spark, target, "fecha") if (d := date.fromisoformat(v)) < first]
-    fresh = add_label(lag_features_incremental(featured, stored, days))
+    # Written once: the lags, the labels and the search for earlier rows start from files.
+    stage = shared_dir(spark, "gold-fresh")
+    flags_as_int(add_features(complete, busiest)).write.parquet(stage)
+    featured = spark.read.parquet(stage)
+    target, state = f"{gold_root}/congestion_por_zona", f"{gold_root}/ultimas_filas"
+    before = rows_before(spark, target, state, featured, first)
+    fresh = add_label(lag_features_after(featured, before))
     if relabel is not None:
         fresh = relabel(fresh)
     if dry_run:
         return fresh
+    for day in partition_values(spark, state, "fecha"):
+        if date.fromisoformat(day) >= first:
+            remove_dir(spark, f"{state}/fecha={day}")
     replace_days(to_storage_types(fresh) if storage else fresh, target)
     gold = spark.read.parquet(target)
+    keep_last_rows(gold, state, before, [d for v in partition_values(spark, target, "fecha") if (d := date.fromisoformat(v)) >= first])
+    remove_dir(spark, stage)
     write_advice(gold.filter(F.col("fecha").between(first, last)), gold_root)
     if kpis is not None:
         partials, touched = f"{gold_root}/kpi_parciales", [first + timedelta(days=k) for k in range((last - first).days + 1)]
@@ -182,6 +189,40 @@ def refresh_gold(
     return gold
 
 
+LAST_ROWS = "zona string, dia date, hora int, congestion_factor double, indice_congestion double, fecha date"
+
+
+def rows_before(spark: SparkSession, target: str, state: str, fresh: DataFrame, first: date) -> DataFrame:
+    """The last stored row of each zone before the day `first`.
+
+    They are one partition of the state table, that of the newest gold day before `first`.
+    Where it is missing (the table is new, or a run was cut short between the two writes,
+    which removes it first) gold is searched backwards."""
+    days = [d for v in partition_values(spark, target, "fecha") if (d := date.fromisoformat(v)) < first]
+    if days and str(max(days)) in partition_values(spark, state, "fecha"):
+        kept = spark.read.schema(LAST_ROWS).parquet(state).filter(F.col("fecha") == F.lit(max(days)))
+        return kept.drop("fecha").withColumnRenamed("dia", "fecha").select(*CARRIED)
+    stored = conform(read_or_empty(spark, target, fresh.schema), fresh.schema)
+    return last_rows(stored.select(*CARRIED), fresh, days)
+
+
+def keep_last_rows(gold: DataFrame, state: str, before: DataFrame, days: list[date]) -> None:
+    """For each of the newest gold `days`, the last row of each zone up to it.
+
+    Only these days are read, reduced to one row per zone and day; a row is then handed on to
+    the days after it until a later one takes its place."""
+    if not days:
+        return
+    daily = gold.filter(F.col("fecha").isin(days)).groupBy("zona", F.col("fecha").alias("dia")).agg(
+        F.max("hora").alias("hora"), *[F.max_by(c, "hora").cast("double").alias(c) for c in CARRIED[3:]]
+    )
+    rows = daily.unionByName(before.select("zona", F.col("fecha").alias("dia"), *CARRIED[2:]))
+    later = F.filter(F.array(*[F.lit(d) for d in days]), lambda d: d >= F.col("dia"))
+    newest = F.max_by(F.struct("dia", "hora", *CARRIED[3:]), F.struct("dia", "hora"))
+    kept = rows.withColumn("fecha", F.explode(later)).groupBy("fecha", "zona").agg(newest.alias("x"))
+    overwrite_days(kept.select("zona", "x.*", "fecha"), state, "fecha")
+
+
 # ---- fixed values: profile metrics and fallbacks ------------------------------
 PROFILE_METRICS = [
     "congestion_ratio", "velocidad_kmh", "congestion_factor", "intensidad_veh_hora",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from citylake.functions.numeric import lenient_timestamp, nan_to_null
 from citylake.schemas import conform
+from citylake.sources.files import schema_groups
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -29,7 +31,7 @@ def read_bronze(spark: SparkSession, paths: list[str], schema: T.StructType) ->
     `recursiveFileLookup` keeps folder names out of the data: a `fecha=` folder
     would otherwise overwrite the event date stored in the file. Each path is one
     layout: its types come from one of its files, so no footer but that is read for
-    them. A path whose files disagree is given folder by folder.
+    them. For a path whose files disagree there is `read_drifted`.
     """
     out = None
     for path in paths:
@@ -46,6 +48,26 @@ def read_bronze(spark: SparkSession, paths: list[str], schema: T.StructType) ->
     return normalise_ingest_ts(nan_to_null(out))
 
 
+def read_drifted(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Everything below one folder, whose files may disagree on types and columns.
+
+    Files are grouped by the schema in their footers; each group is read with its own, cast
+    to `schema` (what can't be cast is NULL) and united: as many scans as there are
+    different schemas, however many files. Folder names stay out of the data.
+    """
+    try:
+        groups = schema_groups(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            groups = []
+        else:
+            raise
+    parts = [conform(spark.read.schema(found).parquet(*files), schema) for found, files in groups]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return normalise_ingest_ts(nan_to_null(reduce(DataFrame.unionByName, parts)))
+
+
 def normalise_ingest_ts(df: DataFrame, column: str = "_ingest_ts") -> DataFrame:
     return df.withColumn(column, lenient_timestamp(column))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from citylake.dims import SOURCE_QUALITY
 from citylake.functions.numeric import lenient_timestamp, lookup
@@ -52,23 +53,38 @@ def overwrite_table(df: DataFrame, path: str, sort: list[str] | None = None) ->
     ordered.write.mode("overwrite").parquet(path)
 
 
-def overwrite_days(df: DataFrame, path: str, day: str = "fecha", sort: list[str] | None = None) -> None:
+def overwrite_days(
+    df: DataFrame, path: str, day: str = "fecha", sort: list[str] | None = None, most_rows: int | None = None
+) -> None:
     """Replace only the days present in `df`.
 
     The rebalance hint gathers each day into few files and lets AQE split a day
-    that is much larger than the rest, where a plain repartition would not.
+    that is much larger than the rest, where a plain repartition would not. Rows of a
+    file are in the order of `sort`, so its row groups do not overlap in it; a file holds
+    `most_rows` at most, if given.
     """
     spread = df.hint("rebalance", day)
     if sort:
         spread = spread.sortWithinPartitions(day, *sort)
+    writer = spread.write.option("maxRecordsPerFile", most_rows) if most_rows else spread.write
     (
-        spread.write.mode("overwrite")
+        writer.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
         .parquet(path)
     )
 
 
+def order_in_files(table: DataFrame, order: list[str]) -> DataFrame:
+    """(file, rows, disordered) of each Parquet file of a table: how many rows come before the
+    row they follow. A window sees one file."""
+    rows = table.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), F.struct(*order).alias("key"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    return rows.withColumn("before", before).groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") > F.col("key")).alias("disordered")
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """One CSV file with header; for KPI tables, whose size depends on zones and hours only."""
     df.coalesce(1).write.mode("overwrite").option("header", "true").option("encoding", "UTF-8").csv(path)

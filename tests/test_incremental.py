@@ -127,3 +127,96 @@ def test_stream_of_one_source_leaves_the_rest_null(spark, sf_dir):
     closed = weather.filter(F.date_trunc("hour", "_ingest_ts") + F.expr("INTERVAL 1 HOUR") <= F.lit(newest - datetime.timedelta(hours=1)))
     assert table.count() == closed.select("zona", F.date_trunc("hour", "_ingest_ts")).distinct().count()
     assert table.filter("velocidad_kmh IS NOT NULL OR congestion_ratio IS NOT NULL OR tiene_evento = 1").isEmpty()
+
+
+def test_lag_state_is_one_small_partition(spark, sf_dir):
+    """The second run reads no older gold day; without the state it finds the same rows in gold."""
+    from citylake.catalog.io_queries import _landed_sources
+    from citylake.catalog.views import SOURCE_ORDER
+    from citylake.session import remove_dir
+
+    bronze = _landed_sources(spark, sf_dir)
+
+    def run(root, days):
+        for day, hours in days:
+            out = jobs.refresh_gold(
+                spark, bronze, root, ["clima", "gps_rutas"], datetime.datetime(2024, 1, day, 23), 99.0, hours,
+                order=SOURCE_ORDER, storage=False, extra="event_id long, doc_id long",
+            )
+        return out
+
+    root = shared_dir(spark, "test-lag")
+    run(root, [(10, 24 * 9)])
+    target, state, first = f"{root}/congestion_por_zona", f"{root}/ultimas_filas", datetime.date(2024, 1, 11)
+    fresh = spark.read.parquet(target)
+    kept = jobs.rows_before(spark, target, state, fresh, first)
+    assert kept.inputFiles() and all("ultimas_filas" in f for f in kept.inputFiles())
+    assert re.search(r"PartitionFilters: \[[^\]]*fecha", plan(kept)) and "congestion_por_zona" not in plan(kept)
+    walked = jobs.rows_before(spark, target, shared_dir(spark, "no-state"), fresh, first)
+    assert rows(kept) == rows(walked) and kept.count() == 6
+    whole = rows(run(root, [(12, 24), (12, 48)]).select(*sorted(fresh.columns)))
+    other = shared_dir(spark, "test-lag-other")
+    assert rows(run(other, [(12, 24 * 11)]).select(*sorted(fresh.columns))) == whole
+    remove_dir(spark, f"{root}/ultimas_filas/fecha=2024-01-10")  # as a run cut short leaves it
+    assert rows(run(root, [(12, 24)]).select(*sorted(fresh.columns))) == whole
+
+
+def test_stored_report_reads_no_data_columns_for_counts(spark, sf_dir):
+    from citylake.operators.quality import stored_report
+
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    text = plan(stored_report({"orders": (orders, orders, "o_custkey", "real")}))
+    assert sorted(re.findall(r"ReadSchema: struct<([^>]*)>", text)) == ["", "o_custkey:bigint"]
+
+
+def test_order_in_files_sees_a_row_out_of_place(spark):
+    from citylake.sources.sinks import order_in_files, overwrite_days
+
+    path = shared_dir(spark, "test-order")
+    spark.createDataFrame([(k, "x") for k in (1, 2, 2, 5, 4, 6)], "k int, z string").coalesce(1).write.parquet(path)
+    assert [tuple(r)[1:] for r in order_in_files(spark.read.parquet(path), ["k"]).collect()] == [(6, 1)]
+    day = F.concat(F.lit("2024-01-0"), (F.col("id") % 3 + 1).cast("string"))
+    many = spark.range(500).select(day.alias("fecha"), (-F.col("id")).alias("hora"))
+    overwrite_days(many, shared := shared_dir(spark, "test-order"), "fecha", ["hora"], most_rows=40)
+    files = order_in_files(spark.read.parquet(shared), ["hora"]).collect()
+    assert sum(r["rows"] for r in files) == 500 and all(r["rows"] <= 40 and r["disordered"] == 0 for r in files)
+
+
+def test_hadoop_uris_as_arrow_reads_them():
+    from citylake.sources.files import arrow_uri, opened
+
+    cases = {
+        "s3a://bucket/a/b.bin": "s3://bucket/a/b.bin", "s3n://b/c": "s3://b/c", "s3://b/c": "s3://b/c", "gs://b/c": "gs://b/c",
+        "hdfs://host:8020/x": "hdfs://host:8020/x", "viewfs://store/x": "hdfs://store/x", "dbfs:/mnt/x": "file:///dbfs/mnt/x",
+        "file:/tmp/x": "file:///tmp/x", "file:///tmp/x": "file:///tmp/x", "/tmp/x": "/tmp/x",
+    }
+    assert {uri: arrow_uri(uri) for uri in cases} == cases
+    for uri in ("file:/tmp/x y", "/tmp/x y", "dbfs:/tmp"):
+        assert opened(uri)[1] in ("/tmp/x y", "/dbfs/tmp")
+
+
+def test_drifted_files_are_read_by_schema(spark):
+    """Integer, double and text in one column, a late column, and a file that Arrow wrote."""
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    from citylake.sources.files import schema_groups
+    from citylake.sources.readers import read_drifted
+    from pyspark.sql import types as T
+
+    path = shared_dir(spark, "test-drift")
+    schema = T.StructType.fromDDL("event_id long, v double, extra string, _ingest_ts string")
+    stamp = F.lit("2024-01-01T00:00:00").alias("_ingest_ts")
+    for k, column in enumerate([F.col("id").cast("int"), F.col("id").cast("double"), F.concat("id", F.lit(".5")), F.lit("none")]):
+        rows = spark.range(k * 10, k * 10 + 10).select(F.col("id").alias("event_id"), column.alias("v"), stamp)
+        rows = rows.withColumn("extra", F.lit("x")) if k == 2 else rows
+        rows.write.parquet(f"{path}/day={k}")
+        rows.write.parquet(f"{path}/again/day={k}")
+    name = path.removeprefix("file:")
+    parquet.write_table(pa.table({"event_id": [99], "v": pa.array([7], pa.int32())}), f"{name}/plain.parquet")
+    groups = schema_groups(spark, path)
+    assert len(groups) == 5 and sum(len(files) for _, files in groups) > 8
+    got = {(r["event_id"], r["v"], r["extra"]) for r in read_drifted(spark, path, schema).collect()}
+    want = {(k, float(k), None) for k in range(20)} | {(k, k + 0.5, "x") for k in range(20, 30)} | {(k, None, None) for k in range(30, 40)}
+    assert got == want | {(99, 7.0, None)}
+    assert read_drifted(spark, shared_dir(spark, "never"), schema).collect() == []
