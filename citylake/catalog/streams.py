@@ -11,7 +11,7 @@ from citylake.catalog.products import cleaned
 from citylake.catalog.registry import query
 from citylake.catalog.views import SOURCES, bronze_sources, readings
 from citylake.session import shared_dir
-from citylake.sources.readers import read_or_empty
+from citylake.sources.readers import read_landed
 from citylake.streaming import gold as sg
 from citylake.streaming import jobs as st
 
@@ -45,7 +45,7 @@ def _(spark, sf):
         starters[name] = start
     outcome, every = st.run_all(starters), None
     for name, error in outcome.items():
-        landed = read_or_empty(spark, f"{bronze}/{name}", schemas[name])
+        landed = read_landed(spark, f"{bronze}/{name}", schemas[name])
         counted = landed.agg(F.lit(name).alias("fuente"), F.count(F.lit(1)).alias("filas"), F.lit(error is None).alias("entero"))
         every = counted if every is None else every.unionByName(counted)
     return every

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -28,7 +29,10 @@ def arrow_uri(uri: str) -> str:
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a URI that all machines can reach."""
-    return fs.FileSystem.from_uri(arrow_uri(uri))
+    found = arrow_uri(uri)
+    if found.startswith("file://"):  # Spark escapes what a URI may not hold
+        return fs.LocalFileSystem(), unquote(found.removeprefix("file://"))
+    return (fs.LocalFileSystem(), found) if found.startswith("/") else fs.FileSystem.from_uri(found)
 
 
 def parquet_files(spark: SparkSession, path: str) -> DataFrame:

@@ -191,7 +191,7 @@ def test_hadoop_uris_as_arrow_reads_them():
         "file:/tmp/x": "file:///tmp/x", "file:///tmp/x": "file:///tmp/x", "/tmp/x": "/tmp/x",
     }
     assert {uri: arrow_uri(uri) for uri in cases} == cases
-    for uri in ("file:/tmp/x y", "/tmp/x y", "dbfs:/tmp"):
+    for uri in ("file:/tmp/x%20y", "/tmp/x y", "dbfs:/tmp"):
         assert opened(uri)[1] in ("/tmp/x y", "/dbfs/tmp")
 
 
