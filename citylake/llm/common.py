@@ -88,24 +88,21 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     neighbours to the smallest one) until the edges are stars; the number of rounds
     grows with the logarithm of the longest path. Groups are only reduced to a
     minimum, so a hub costs one row per task. Nodes without an edge are left out.
-    Every round is written to the shared folder, so a lost executor costs one round.
+    A round never has more rows than the one before. It writes two tables to the shared
+    folder, so a lost executor costs one round; the smallest and largest neighbours,
+    which it needs first, also tell whether the edges are stars.
     """
     now = staged(_directed(edges), "edges")
-    mark = _mark(now)
     for _ in range(max_rounds):
-        both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        large = staged(_to_least(both, F.col("v") > F.col("u")), "large-star")
-        small = staged(_small_star(large), "small-star")
-        discard(large)
-        discard(now)
-        now, before, mark = small, mark, _mark(small)
-        if mark == before:
+        near = _neighbours(now)
+        if not near.agg(F.max((F.col("low") < F.col("u")) & (F.col("low") < F.col("high")))).first()[0]:
             break
+        before, now = now, staged(_small_star(_large_star(now, near)), "small-star")
+        discard(near)
+        discard(before)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-        now.select("b", "b").distinct()
-    )
+    return near.select(F.col("u").alias("node"), F.least("u", "low").alias("root"))
 
 
 def _directed(edges: DataFrame) -> DataFrame:
@@ -117,20 +114,20 @@ def _directed(edges: DataFrame) -> DataFrame:
     )
 
 
-def _to_least(pairs: DataFrame, keep) -> DataFrame:
-    """(v, smallest of u and its neighbours) for the neighbours v that `keep` selects."""
-    least = pairs.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    least = staged(least, "least")
-    out = pairs.filter(keep).join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return _directed(out)
+def _neighbours(edges: DataFrame) -> DataFrame:
+    """(u, low, high): the smallest and the largest neighbour of every node."""
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
+    return staged(both.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high")), "neighbours")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    pairs = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    least = staged(pairs.groupBy("u").agg(F.min("v").alias("m")), "least")
-    moved = pairs.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return _directed(moved.union(least.select("u", "m")))
+def _large_star(edges: DataFrame, near: DataFrame) -> DataFrame:
+    """The larger end of every edge, moved to the smallest of the other end and its neighbours."""
+    to = near.select(F.col("u").alias("b"), F.least("u", "low").alias("to"))
+    return edges.join(to, "b").select("a", F.col("to").alias("b"))
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _small_star(edges: DataFrame) -> DataFrame:
+    """The smaller neighbours of every node, and itself, moved to the smallest one."""
+    low = edges.groupBy("a").agg(F.min("b").alias("low"))
+    moved = edges.join(low, "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    return moved.union(low)

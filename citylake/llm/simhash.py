@@ -98,9 +98,20 @@ def forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return links
 
 
-def bucket_links(nodes: DataFrame, radius: int = RADIUS, direct: int = DIRECT) -> DataFrame:
+def stars(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links of every other fingerprint of a tree of that forest to its smallest one (as a
+    signed long): the same components by shorter paths."""
+    trees: dict[int, list[int]] = {}
+    for a, b in forest(fps, radius):
+        trees[b] = trees.setdefault(a, [a])
+        trees[a].append(b)
+    firsts = {id(tree): tree for tree in trees.values()}.values()
+    return [(x, least) for tree in firsts for least in [min(tree, key=_signed)] for x in tree if x != least]
+
+
+def bucket_links(nodes: DataFrame, radius: int = RADIUS, direct: int = DIRECT, join=forest) -> DataFrame:
     """Links (a, b) between the different fingerprints `nodes` (fp) that join the same
-    components as all pairs within the radius do."""
+    components as all pairs within the radius do; `join` gives those of a bucket."""
     masks = covering_masks(list(range(BITS)), radius)
     finer = [covering_masks([b for b in range(BITS) if not m >> b & 1], radius) for m in masks]
     keyed = nodes.select(
@@ -146,7 +157,7 @@ def bucket_links(nodes: DataFrame, radius: int = RADIUS, direct: int = DIRECT) -
             links = [
                 pair
                 for i, j in zip(edges, edges[1:], strict=False)
-                for pair in forest(values[i:j], radius)
+                for pair in join(values[i:j], radius)
             ]
             both = np.array(links, dtype=np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
@@ -165,7 +176,7 @@ def near_duplicates(
     reachable, root the smallest fingerprint, `row` a hash of the text."""
     prints = staged(fingerprints(docs, id_col, text_col), "simhash-prints")
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    roots = components(bucket_links(nodes.select("fp"), radius, direct))
+    roots = components(bucket_links(nodes.select("fp"), radius, direct, stars))
     rooted = staged(
         nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
             "fp", F.coalesce("root", "fp").alias("root"), "least"

@@ -1,11 +1,13 @@
 import itertools
+import random
 import re
 
 import numpy as np
 import pytest
 import xxhash
 
-from citylake.llm.simhash import bucket_links, covering_masks, fingerprint, forest, hex_digits, near_duplicates
+from citylake.llm import common
+from citylake.llm.simhash import bucket_links, covering_masks, fingerprint, forest, hex_digits, near_duplicates, stars
 from tests.llm.helpers import awkward, awkward_rows, clashing, empty
 
 
@@ -58,6 +60,43 @@ def test_forest_joins_what_all_pairs_join():
     assert len(forest(fps.view(np.int64), 2)) == len(fps) - len(set(root.values()))
 
 
+def test_stars_join_what_the_forest_joins():
+    rng = np.random.default_rng(4)
+    fps = np.unique(rng.integers(0, 1 << 9, 120).astype(np.uint64) | np.uint64(1 << 63) * rng.integers(0, 2, 120).astype(np.uint64))
+    links = stars(fps.view(np.int64), 2)
+    roots, least = slow_components(fps), {}
+    for f, r in zip(fps.view(np.int64).tolist(), roots):
+        least[r] = min(f, least.get(r, f))
+    want = {int(f): least[r] % (1 << 64) for f, r in zip(fps, roots)}
+    assert {a: b for a, b in links} == {a: b for a, b in want.items() if a != b}
+
+
+def slow_reach(edges):
+    root = {x: x for e in edges for x in e}
+    for a, b in edges:
+        low, high = sorted((root[a], root[b]))
+        root = {x: low if r == high else r for x, r in root.items()}
+    return root
+
+
+def test_components_of_a_path_a_hub_and_a_cycle_by_few_tables(spark, monkeypatch):
+    """Each written table is a wait for the slowest task: two a round, and none to see the end."""
+    made, write = [], common.staged
+    monkeypatch.setattr(common, "staged", lambda df, purpose: made.append(purpose) or write(df, purpose))
+    rng, names = random.Random(1), random.Random(2).sample(range(-10_000, 10_000), 400)
+    path, hub, ring = names[:100], names[100:250], names[250:]
+    edges = list(zip(path, path[1:])) + [(hub[0], x) for x in hub[1:]] + list(zip(ring, ring[1:] + ring[:1]))
+    edges += [(b, a) for a, b in edges[::3]] + [(5, 5)]
+    rng.shuffle(edges)
+    out = common.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r["node"]: r["root"] for r in out} == slow_reach([e for e in edges if e != (5, 5)]) and len(out) == 400
+    assert len(made) <= 14
+    made.clear()
+    out = common.components(spark.createDataFrame([(x, 0) for x in range(1, 50)], "a long, b long")).collect()
+    assert len(out) == 50 and len(made) == 2
+    assert common.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 @pytest.mark.parametrize("direct", [2, 512])
 def test_links_keep_components_with_and_without_second_masking(spark, direct):
     rng = np.random.default_rng(5)
