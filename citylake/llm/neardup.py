@@ -1,12 +1,17 @@
-"""Near copies by the Jaccard similarity of their word shingles.
-
-Texts with equal shingle sets are one node. A node has BANDS keys, each made of ROWS
-minima of its shingles under random hashes; nodes that share a key are candidates, and
-every link is checked on the whole shingle sets, in integers. Two sets of similarity s
-share no key with probability (1 - s^ROWS)^BANDS: 4e-7 at 0.8, less above it.
-
-First each node meets the smallest node of its buckets, which is linear and joins groups
-of copies. The nodes of buckets that still hold several components then meet by a lossless
+"""Near copies by SimHash and the Jaccard similarity of their word shingles.
+
+Texts with equal shingle sets are one node. The SimHash of a node is the majority of the
+bits of its shingles; covering masks (`simhash.bucket_links`) find all fingerprints that
+differ in at most RADIUS bits, and give a spanning forest of each bucket as candidates.
+Two sets of similarity 0.8 differ in 10 of 64 bits on average, which no cover of usable
+size reaches, so the links beyond the radius are found by minima: a node has BANDS keys,
+each made of ROWS minima of its shingles under random hashes, and nodes that share a key
+are candidates too. Two sets of similarity s share no key with probability
+(1 - s^ROWS)^BANDS: 4e-7 at 0.8, less above it. Every link, of either kind, is checked on
+the whole shingle sets, in integers.
+
+First each node meets its neighbours in the SimHash forests and the smallest node of its
+buckets, which is linear and joins groups of copies. The nodes of buckets that still hold several components then meet by a lossless
 prefix filter: with shingles in one order, rarest first, two sets of similarity 0.8 share
 one of the first n - ceil(0.8 n) + 1 of the larger and of the first n - ceil(8/9 n) + 1 of
 the smaller set, and what follows it must be long enough for their overlap. Under each
@@ -31,10 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citylake.llm.common import components, staged, text_slices
+from citylake.llm.simhash import BITS, bit_counts, bucket_links, majority
 
 SHINGLE = 5
 #: Least similarity of a link, as a fraction of two integers.
 SHARE, OF = 4, 5
+#: Bits in which the fingerprints of candidates may differ: 15 masks, each of about 34 bits.
+RADIUS = 3
+#: Buckets up to this size are compared whole, larger ones masked a second time.
+DIRECT = 1 << 12
 BANDS = 28
 ROWS = 4
 #: Heads under one shingle in the first round, and how many times more there are in each next one.
@@ -70,8 +80,17 @@ def keys(found: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(m.tobytes(), b) for b, m in enumerate(bands)], np.uint64).view(np.int64)
 
 
+def fingerprint(found: np.ndarray) -> int:
+    """Majority of the bits of a shingle set; 0 for an empty one."""
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(found), RUN):
+        ones += bit_counts(found[at : at + RUN])
+    return majority(ones, len(found))
+
+
 def prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, row, node, n, keys): hashes of the text and of its shingle set, its size and keys."""
+    """(doc_id, row, node, n, fp, keys): hashes of the text and of its shingle set, its size,
+    SimHash and keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,14 +100,15 @@ def prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 ids, rows = (batch.column(c).slice(at, len(texts)) for c in (0, 2))
                 yield pa.RecordBatch.from_arrays(
                     [ids, rows, pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array([len(s) for s in sets], pa.int64())]
+                    + [pa.array(np.array([fingerprint(s) for s in sets], np.uint64).view(np.int64))]
                     + [pa.array([keys(s) for s in sets], pa.list_(pa.int64()))],
-                    ["doc_id", "row", "node", "n", "keys"],
+                    ["doc_id", "row", "node", "n", "fp", "keys"],
                 )
 
     rows = docs.select(
         F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.xxhash64(text_col).alias("row")
     )
-    return rows.mapInArrow(run, "doc_id long, row long, node long, n long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, row long, node long, n long, fp long, keys array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -120,6 +140,18 @@ def _sizes_fit(n, m) -> F.Column:
     return OF * F.least(n, m) >= SHARE * F.greatest(n, m)
 
 
+def simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of `nodes` (node, n, fp) that join what differs in at most RADIUS bits: the
+    smallest node of a fingerprint with its others, and with those of the linked fingerprints."""
+    words = nodes.filter("n > 0").select("node", "fp")
+    prints = staged(words.groupBy("fp").agg(F.min("node").alias("head"), F.count("*").alias("times")), "neardup-fps")
+    heads = prints.filter("times > 1").select("fp", "head")
+    equal = words.join(heads, "fp").filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    ends = [prints.select(F.col("fp").alias(c), F.col("head").alias(f"{c}_head")) for c in "ab"]
+    linked = bucket_links(prints.select("fp"), RADIUS, DIRECT).distinct().join(ends[0], "a").join(ends[1], "b")
+    return equal.union(linked.select("a_head", "b_head"))
+
+
 def roots_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, root) of the nodes that have a near copy."""
     keyed = nodes.select("node", "n", F.explode("keys").alias("key"))
@@ -129,10 +161,13 @@ def roots_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> D
         keyed.join(buckets, "key").select("key", "node", "n", F.col("head.node").alias("head"), F.col("head.n").alias("head_n")),
         "neardup-shared",
     )
-    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "at.row", "at.doc_id")
+    close = staged(simhash_pairs(nodes), "neardup-close")
+    met = shared.select("node").union(close.select("a")).union(close.select("b")).distinct()
+    wanted = nodes.join(met, "node", "left_semi").select("node", "at.row", "at.doc_id")
     sets = staged(shingle_sets(docs, wanted, id_col, text_col), "neardup-sets")
     first = shared.filter((F.col("node") != F.col("head")) & _sizes_fit(F.col("n"), F.col("head_n")))
-    links = staged(similar(first.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), sets), "neardup-links")
+    pairs = first.select(F.col("node").alias("a"), F.col("head").alias("b")).union(close).distinct()
+    links = staged(similar(pairs, sets), "neardup-links")
     roots = staged(components(links), "neardup-joined")
 
     now = shared.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
@@ -202,6 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.min("doc_id").alias("least"),
             F.max(F.struct("row", "doc_id")).alias("at"),
             F.max("n").alias("n"),
+            F.max("fp").alias("fp"),
             F.first("keys").alias("keys"),
         ),
         "neardup-nodes",

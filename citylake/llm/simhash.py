@@ -47,10 +47,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     digest, ones = xxhash.xxh64_intdigest, np.zeros(BITS, np.int64)
     for at in range(0, len(starts), RUN):
         spans = zip(starts[at : at + RUN].tolist(), stops[at : at + RUN].tolist(), strict=True)
-        hashes = np.array([digest(joined[i:j], seed) for i, j in spans], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
+        ones += bit_counts(np.array([digest(joined[i:j], seed) for i, j in spans], dtype="<u8"))
+    return majority(ones, len(starts))
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit `hashes` have each bit set."""
+    bits = np.unpackbits(hashes.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int32)
+
+
+def majority(ones: np.ndarray, n: int) -> int:
+    """The bits that more than half of `n` hashes have set."""
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

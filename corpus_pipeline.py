@@ -37,7 +37,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 5-word shingles, similarity at least 0.8."""
+    """One document of each group of near copies: SimHash of 5-word shingles by covering masks, minima
+    for the links beyond its radius, similarity at least 0.8."""
     return simhash.keep_one(docs, find=neardup.near_duplicates)
 
 

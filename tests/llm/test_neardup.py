@@ -1,6 +1,8 @@
 import random
 
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from citylake.llm import neardup
@@ -114,6 +116,40 @@ def test_prefix_rounds_alone_find_every_group(spark):
     assert got == slow_groups(texts)
 
 
+def slow_fingerprint(text):
+    hashes = [xxhash.xxh64_intdigest(" ".join(s), 42) for s in slow_set(text)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_alone_joins_all_similar_texts_within_its_radius(spark):
+    """With no keys of minima, what remains are the covering masks and the check of the links."""
+    rng = random.Random(11)
+    texts = edited_copies()[:20] + [f"w{k} w{k + 1}" for k in range(40)] + ["", "tail"]
+    for words in (500, 900, 1400):
+        base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+        texts += [" ".join(base)] + [" ".join([*base, f"tail{k}"]) for k in range(5)]
+        for k in range(12):
+            base[rng.randrange(words)] = f"y{k}"
+            texts.append(" ".join(base))
+    docs = frame(spark, texts)
+    found = neardup.prints(docs, "doc_id", "text").withColumn("keys", F.array().cast("array<long>"))
+    nodes = found.select("node", "n", "fp", "keys", F.struct("row", "doc_id").alias("at"))
+    ids = {r["node"]: r["doc_id"] for r in found.collect()}
+    assert len(ids) == len(texts) and {r["doc_id"]: r["fp"] % (1 << 64) for r in found.collect()} == dict(enumerate(map(slow_fingerprint, texts)))
+
+    roots, want = list(range(len(texts))), list(range(len(texts)))
+    fps, sets = [slow_fingerprint(t) for t in texts], [slow_set(t) for t in texts]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if (fps[i] ^ fps[j]).bit_count() <= 3 and a and 5 * len(a & b) >= 4 * len(a | b):
+                x, y = want[i], want[j]
+                want = [min(x, y) if r in (x, y) else r for r in want]
+    for r in neardup.roots_of(docs, nodes, "doc_id", "text").collect():
+        roots[ids[r["node"]]] = ids[r["root"]]
+    groups = lambda of: {frozenset(i for i, r in enumerate(of) if r == x) for x in of}
+    assert groups(roots) == groups(want) and len(set(want)) <= len(texts) - 20
+
+
 @pytest.mark.parametrize("rows", [awkward, clashing])
 def test_awkward_rows(spark, rows):
     docs = rows(spark).collect()
